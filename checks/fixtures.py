@@ -142,7 +142,7 @@ def definitions(d) -> dict[str, str]:
         f"o_totalprice / 30 / (400 + floor({u('rs', 'o_orderkey')} * 1600)) AS rent_sqft, "
         f"{u('rx', 'o_orderkey')} AS longitude, {u('ry', 'o_orderkey')} AS latitude FROM {{orders}}",
         "mtc_skims": f"SELECT p.orig, p.dest, {_skim_columns()} FROM (SELECT a.orig, "
-        f"{d.expand('a.zc')} AS dest FROM (SELECT zone_id AS orig, (SELECT count(*) FROM {{zones}}) "
+        f"{d.expand('a.zc')} AS dest FROM (SELECT /*+ REPARTITION(16) */ zone_id AS orig, (SELECT count(*) FROM {{zones}}) "
         "AS zc FROM {zones}) a) p",
         "beam_skims_raw": f"SELECT l_suppkey % {zc} + 1 AS origTaz, o_custkey % {zc} + 1 AS destTaz, "
         "CASE l_returnflag WHEN 'R' THEN 'CAR' WHEN 'N' THEN 'WALK_TRANSIT' ELSE 'BIKE' END AS mode, "

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from dayplan.functions.draws import digest, draw, uniform
 from dayplan.operators.dense_index import dense_index
 from dayplan.operators.relations import complement
-from dayplan.session import Scratch
+from dayplan.session import Scratch, task_count
 from dayplan.specs.choice import WideLogit
 
 Terms = list[tuple[float, list[str]]]
@@ -90,23 +90,17 @@ def _sampled_indices(salt: str, key: Column, size: int, k: int) -> Column:
     Draw i falls on 0..size-k+i; an index already taken gives way to the newest one, so
     exactly k draws are enough whatever the size.
     """
-    slots = F.sequence(F.lit(0), F.lit(k - 1))
-    # four draws per digest
-    hashes = F.array(
-        *[
-            draw(digest(f"{salt}|{block}", key), slot)
-            for block in range((k + 3) // 4)
-            for slot in range(4)
-        ]
-    )
-
-    def step(taken: Column, i: Column) -> Column:
-        top = i.cast("bigint") + F.lit(size - k)
-        u = F.element_at(hashes, i + 1) / F.lit(4294967296.0)
-        pick = F.floor(u * (top + 1)).cast("bigint")
+    # four draws per digest, each computed once per row
+    digests = F.array(*[digest(f"{salt}|{block}", key) for block in range((k + 3) // 4)])
+    hashes = F.flatten(F.transform(digests, lambda d: F.array(*[draw(d, i) for i in range(4)])))
+    numbered = F.transform(F.slice(hashes, 1, k), lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+
+    def step(taken: Column, x: Column) -> Column:
+        top = x["i"].cast("bigint") + F.lit(size - k)
+        pick = F.floor(x["h"] / F.lit(4294967296.0) * (top + 1)).cast("bigint")
         return F.array_append(taken, F.when(F.array_contains(taken, pick), top).otherwise(pick))
 
-    return F.aggregate(slots, F.array().cast("array<bigint>"), step)
+    return F.aggregate(numbered, F.array().cast("array<bigint>"), step)
 
 
 def sample_indexed(
@@ -233,7 +227,8 @@ def capacity_choice(
     """
     spark = choosers.sparkSession
     scratch = Scratch(spark, "capacity")
-    waiting = scratch.write(choosers, "waiting-0")
+    # narrow rows are spread evenly before each of them grows k-fold
+    waiting = scratch.write(choosers.repartition(task_count(spark)), "waiting-0")
     indexed, size = dense_index(alts, alternative)
     placed: list[DataFrame] = []
     number = 0
@@ -256,7 +251,8 @@ def capacity_choice(
         placed.append(winners)
         if number == rounds:
             break
-        waiting = scratch.write(complement(waiting, winners, chooser), f"waiting-{number}")
+        left = complement(waiting, winners, chooser).repartition(task_count(spark))
+        waiting = scratch.write(left, f"waiting-{number}")
         if waiting.isEmpty():
             break
         free = complement(indexed.drop("idx"), winners, alternative)

@@ -49,6 +49,12 @@ def scratch_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def task_count(spark: SparkSession) -> int:
+    """Tasks to spread small rows over before a CPU-heavy or growing step."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(shuffle, spark.sparkContext.defaultParallelism)
+
+
 class Scratch:
     """Tables written under the shared folder by one operator run.
 
