@@ -23,13 +23,15 @@ def statement(final: str) -> str:
     steps: list[str] = []
     fixtures: set[str] = set()
 
-    def visit(text: str) -> None:
+    def visit(text: str, own: str = "") -> None:
         for name in _NAME.findall(text):
+            if name == own:
+                continue
             if name.startswith("fx_"):
                 if name[3:] in definitions(Duck):
                     fixtures.add(name[3:])
             elif name in _STEPS and name not in steps:
-                visit(_STEPS[name].replace(name, ""))
+                visit(_STEPS[name], name)
                 if name not in steps:
                     steps.append(name)
 

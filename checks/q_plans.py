@@ -43,6 +43,11 @@ def normal_sql(p: str) -> str:
     )
 
 
+def minus_log(x: str) -> str:
+    """-ln(1 - x), by its series where 1 - x would lose the digits of a small x."""
+    return f"(CASE WHEN {x} < 1e-5 THEN {x} * (1 + {x} / 2 + {x} * {x} / 3) ELSE -ln(1 - {x}) END)"
+
+
 def law_sql(law: laws.Law, v: str) -> str:
     """Time of day for the uniform draw in SQL expression ``v``."""
     if law.tabulated:
@@ -62,11 +67,11 @@ def law_sql(law: laws.Law, v: str) -> str:
         "genlogistic": lambda: f"(-ln(pow({q}, {-1 / s[0]!r}) - 1))",
         "johnsonsb": lambda: f"(1 / (1 + exp(-(({normal_sql(q)}) - {s[0]!r}) / {s[1]!r})))",
         "pareto": lambda: f"pow(1 - {q}, {-1 / s[0]!r})",
-        "weibull_min": lambda: f"pow(-ln(1 - {q}), {1 / s[0]!r})",
+        "weibull_min": lambda: f"pow({minus_log(q)}, {1 / s[0]!r})",
         "levy": lambda: f"(1 / pow({normal_sql(q + ' / 2')}, 2))",
         "triang": lambda: f"(CASE WHEN {q} < {s[0]!r} THEN sqrt({s[0]!r} * {q}) "
         f"ELSE 1 - sqrt({1 - s[0]!r} * (1 - {q})) END)",
-        "exponweib": lambda: f"pow(-ln(1 - pow({q}, {1 / s[0]!r})), {1 / s[1]!r})",
+        "exponweib": lambda: f"pow({minus_log(f'pow({q}, {1 / s[0]!r})')}, {1 / s[1]!r})",
     }[law.kind]()
     return f"(CAST({law.loc!r} AS DOUBLE) + CAST({law.scale!r} AS DOUBLE) * {z})"
 
@@ -223,16 +228,18 @@ def plans_of(m: Model):
     return plans.withColumn("endTime", F.round("endTime", 6))
 
 
-@query(
-    "q_coverage",
-    "WITH w AS (SELECT count(job_id) AS placed FROM fx_persons_work), r AS ("
-    "SELECT 1 AS i, 'workplace' AS step, (SELECT placed FROM w) AS covered, count(*) AS total FROM c_choosers "
-    "UNION ALL SELECT 2, 'departure', (SELECT count(HW_ST) FROM c_times), (SELECT placed FROM w) "
-    "UNION ALL SELECT 3, 'autos', count(cars), count(*) FROM fx_households "
-    "UNION ALL SELECT 4, 'mode', count(primary_commute_mode), (SELECT placed FROM w) FROM c_modes "
-    "UNION ALL SELECT 5, 'plans', count(DISTINCT personId), (SELECT placed FROM w) FROM c_plans) "
-    "SELECT step, covered, total, round(covered / total * 100, 1) AS percent FROM r",
+step("c_placed", "SELECT count(job_id) AS n FROM fx_persons_work")
+step(
+    "c_cover",
+    "SELECT 'workplace' AS step, (SELECT n FROM c_placed) AS covered, count(*) AS total FROM c_choosers "
+    "UNION ALL SELECT 'departure', (SELECT count(HW_ST) FROM c_times), (SELECT n FROM c_placed) "
+    "UNION ALL SELECT 'autos', count(cars), count(*) FROM fx_households "
+    "UNION ALL SELECT 'mode', count(primary_commute_mode), (SELECT n FROM c_placed) FROM c_modes "
+    "UNION ALL SELECT 'plans', count(DISTINCT personId), (SELECT n FROM c_placed) FROM c_plans",
 )
+
+
+@query("q_coverage", "SELECT step, covered, total, round(covered / total * 100, 1) AS percent FROM c_cover")
 def _(m: Model):
     from checks.q_tables import home_persons
 

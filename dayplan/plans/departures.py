@@ -41,9 +41,7 @@ def early_24(persons: DataFrame, salt: str = "tod24") -> tuple[DataFrame, int]:
     return lot.select("person_id", early.alias("early")), n
 
 
-def _by_code(laws: dict, salt: str) -> Column:
-    # four draws per digest; one digest serves both directions of a person
-    u = open_uniform(salt, "person_id", slot=0 if laws is HOME_TO_WORK else 1)
+def _by_code(laws: dict, u: Column) -> Column:
     out = None
     for code, law in laws.items():
         test = F.col("TOD") == code
@@ -86,15 +84,21 @@ def departure_times(persons: DataFrame, salt: str = "depart") -> DataFrame:
     coded = persons.where(F.col("TOD").isin(*WORK_TO_HOME)).select("person_id", "TOD")
     share, _ = early_24(coded, f"{salt}|24")
     coded = coded.join(share, "person_id", "left")
-    u = open_uniform(salt, "person_id", slot=0)
+    # both draws are columns of their own, as the quantile formulas use them many times
+    coded = coded.withColumns(
+        {
+            "_u_hw": open_uniform(salt, "person_id", slot=0),
+            "_u_wh": open_uniform(salt, "person_id", slot=1),
+        }
+    )
+    u = F.col("_u_hw")
     hw = (
         F.when(F.col("early"), EARLY_24.quantile(u))
         .when(F.col("TOD") == 24, LATE_24.quantile(u))
-        .otherwise(_by_code(HOME_TO_WORK, salt))
-    )
-    drawn = coded.select(
-        "person_id", "TOD", hw.alias("hw"), _by_code(WORK_TO_HOME, salt).alias("wh")
+        .otherwise(_by_code(HOME_TO_WORK, u))
     )
+    wh = _by_code(WORK_TO_HOME, F.col("_u_wh"))
+    drawn = coded.select("person_id", "TOD", hw.alias("hw"), wh.alias("wh"))
     # only the few pairs in the wrong order enter the redraw expression
     wrong = (F.col("TOD") == 22) & (F.col("hw") >= F.col("wh"))
     fixed = drawn.withColumn(
