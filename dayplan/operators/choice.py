@@ -245,15 +245,15 @@ def capacity_choice(
         winners = wishes.groupBy(alternative).agg(F.min(ticket).alias("w")).select(
             F.col(f"w.{chooser}").alias(chooser), alternative, F.lit(number).alias("round")
         )
-        winners = scratch.write(winners, f"winners-{number}")
-        if winners.isEmpty():
+        winners, won = scratch.write_counting(winners, f"winners-{number}")
+        if won == 0:
             break
         placed.append(winners)
         if number == rounds:
             break
         left = complement(waiting, winners, chooser).repartition(task_count(spark))
-        waiting = scratch.write(left, f"waiting-{number}")
-        if waiting.isEmpty():
+        waiting, remaining = scratch.write_counting(left, f"waiting-{number}")
+        if remaining == 0:
             break
         free = complement(indexed.drop("idx"), winners, alternative)
         indexed, size = dense_index(free, alternative)

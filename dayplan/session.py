@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -71,6 +72,13 @@ class Scratch:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def write_counting(self, df: DataFrame, name: str, condition: str = "true") -> tuple[DataFrame, int]:
+        """Like ``write``, and the number of rows that meet ``condition``, in the same job."""
+        seen = Observation()
+        counted = df.observe(seen, F.count(F.when(F.expr(condition), 1)).alias("n"))
+        stored = self.write(counted, name)
+        return stored, int(seen.get["n"])
+
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return it as a stored table."""
