@@ -199,22 +199,30 @@ def _(m: Model):
 
 # ---------------------------------------------------------------- capacity rounds
 
-for _r in (1, 2):
-    if _r == 2:
-        step("c_waiting", "SELECT * FROM c_choosers WHERE person_id NOT IN (SELECT person_id FROM c_won1)")
+ROUNDS = 8  # more than the capacity loop takes on the checked data; an idle round adds nothing
+
+for _r in range(1, ROUNDS + 1):
+    if _r > 1:
+        _before, _old = ("c_choosers", "c_alts") if _r == 2 else (f"c_waiting{_r - 1}", f"c_free{_r - 1}")
+        step(
+            f"c_waiting{_r}",
+            f"SELECT * FROM {_before} WHERE person_id NOT IN (SELECT person_id FROM c_won{_r - 1})",
+        )
         step(
-            "c_free",
-            "SELECT * EXCLUDE (idx), row_number() OVER (ORDER BY job_id) - 1 AS idx FROM c_alts "
-            "WHERE job_id NOT IN (SELECT job_id FROM c_won1)",
+            f"c_free{_r}",
+            f"SELECT * EXCLUDE (idx), row_number() OVER (ORDER BY job_id) - 1 AS idx FROM {_old} "
+            f"WHERE job_id NOT IN (SELECT job_id FROM c_won{_r - 1})",
         )
         step(
-            "c_sampled2",
-            picks_sql("c_waiting", "person_id", "wlcm|alt|2", "(SELECT count(*) FROM c_free)", K,
+            f"c_sampled{_r}",
+            picks_sql(f"c_waiting{_r}", "person_id", f"wlcm|alt|{_r}", f"(SELECT count(*) FROM c_free{_r})", K,
                       ", ".join(CHOOSER_COLUMNS)),
         )
-        step("c_table2", _JOINED.format(picks="c_sampled2", alts="c_free"))
-        step("c_priced2", f"SELECT person_id, job_id, {sql_terms(WLCM_GEN_TT_SIMPLE)} AS v FROM c_table2")
-    _source = "c_priced" if _r == 1 else "c_priced2"
+        step(f"c_table{_r}", _JOINED.format(picks=f"c_sampled{_r}", alts=f"c_free{_r}"))
+        step(
+            f"c_priced{_r}", f"SELECT person_id, job_id, {sql_terms(WLCM_GEN_TT_SIMPLE)} AS v FROM c_table{_r}"
+        )
+    _source = "c_priced" if _r == 1 else f"c_priced{_r}"
     step(f"c_wish{_r}", draw_sql(_source, "person_id", "job_id", "v", u(f"wlcm|draw|{_r}", "person_id")))
     step(
         f"c_won{_r}",
@@ -228,7 +236,7 @@ def _(m: Model):
     return wlcm_simulate(wlcm_tables(m), rounds=2)
 
 
-@query("q_wlcm")
+@query("q_wlcm", " UNION ALL ".join(f"SELECT * FROM c_won{r}" for r in range(1, ROUNDS + 1)))
 def _(m: Model):
     return wlcm_simulate(wlcm_tables(m))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dayplan.session import materialize
 from dayplan.specs.tables import RELATIONS
 
 
@@ -107,8 +108,14 @@ def add_zone_id_home(
     return out.withColumn("zone_id_home", F.col("zone_id_home").cast("double"))
 
 
-def propagate_node_ids(tables: dict[str, DataFrame], node_columns: list[str]) -> dict[str, DataFrame]:
-    """Carry parcel node ids to buildings, units, households, persons and jobs."""
+def propagate_node_ids(
+    tables: dict[str, DataFrame], node_columns: list[str], store: bool = True
+) -> dict[str, DataFrame]:
+    """Carry parcel node ids to buildings, units, households, persons and jobs.
+
+    Each level reads a narrow (key, node ids) table of the level above. With ``store`` these
+    are written once, so a lower level does not repeat the joins of the upper ones.
+    """
     steps = (
         ("buildings", "parcel_id", "parcels", "parcel_id"),
         ("units", "building_id", "buildings", "building_id"),
@@ -117,7 +124,12 @@ def propagate_node_ids(tables: dict[str, DataFrame], node_columns: list[str]) ->
         ("jobs", "building_id", "buildings", "building_id"),
     )
     out = dict(tables)
+    narrow: dict[str, DataFrame] = {}
     for child, fk, parent, pk in steps:
-        if child in out:
-            out[child] = lookup(out[child], fk, out[parent], pk, node_columns)
+        if child not in out:
+            continue
+        if parent not in narrow:
+            ids = out[parent].select(pk, *node_columns)
+            narrow[parent] = materialize(ids, f"ids-{parent}") if store else ids
+        out[child] = lookup(out[child], fk, narrow[parent], pk, node_columns)
     return out

@@ -17,7 +17,7 @@ FAST = [
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"q_wlcm", "q_fit_workplace"}
+    assert set(QUERIES) - set(ORACLES) == {"q_fit_workplace"}
 
 
 @pytest.mark.parametrize("name", FAST)
