@@ -99,7 +99,7 @@ def definitions(d) -> dict[str, str]:
         "CAST(p_size % 12 AS DOUBLE) AS residential_units, "
         "CASE WHEN p_size % 8 = 0 THEN CAST(0 AS DOUBLE) "
         "ELSE CAST(floor(p_retailprice) * p_size AS DOUBLE) END AS residential_sqft, "
-        "p_retailprice AS sqft_per_unit FROM {part}",
+        "CAST(floor(p_retailprice) AS DOUBLE) AS sqft_per_unit FROM {part}",
         "units": "SELECT building_id * 12 + i - 1 AS unit_id, building_id FROM (SELECT p_partkey AS "
         f"building_id, {d.expand('CAST(p_size % 12 AS BIGINT)')} AS i FROM {{part}} "
         "WHERE p_size % 12 > 0) n",
@@ -137,8 +137,9 @@ def definitions(d) -> dict[str, str]:
         "establishments": "SELECT s_suppkey AS establishment_id, "
         f"CAST(floor({u('eb', 's_suppkey')} * {np_}) AS BIGINT) AS building_id, "
         "s_suppkey * 10 AS primary_id FROM {supplier}",
+        # whole rents and areas: their sums are exact, so averages agree to the last bit
         "rentals": "SELECT o_orderkey AS pid, "
-        f"CASE WHEN {u('rn', 'o_orderkey')} < 0.05 THEN NULL ELSE o_totalprice / 30 END AS rent, "
+        f"CASE WHEN {u('rn', 'o_orderkey')} < 0.05 THEN NULL ELSE CAST(floor(o_totalprice / 30) AS DOUBLE) END AS rent, "
         f"o_totalprice / 30 / (400 + floor({u('rs', 'o_orderkey')} * 1600)) AS rent_sqft, "
         f"{u('rx', 'o_orderkey')} AS longitude, {u('ry', 'o_orderkey')} AS latitude FROM {{orders}}",
         "mtc_skims": f"SELECT p.orig, p.dest, {_skim_columns()} FROM (SELECT a.orig, "

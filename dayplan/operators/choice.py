@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dayplan.functions.draws import digest, draw, uniform
 from dayplan.operators.dense_index import dense_index
@@ -224,17 +225,24 @@ def capacity_choice(
     Each round samples k free alternatives per unplaced chooser, draws one, and settles
     clashes by a hashed lottery. Rounds go on until choosers or alternatives run out or a
     round places nobody; ``rounds`` stops earlier. Returns (chooser, alternative, round).
+
+    The attributes are stored once. After the first round, which holds nearly all choosers,
+    only the keys of the free alternatives are numbered again.
     """
     spark = choosers.sparkSession
     scratch = Scratch(spark, "capacity")
     # narrow rows are spread evenly before each of them grows k-fold
     waiting = scratch.write(choosers.repartition(task_count(spark)), "waiting-0")
     indexed, size = dense_index(alts, alternative)
+    attributes = indexed.drop("idx")
+    free = indexed.select(alternative)
     placed: list[DataFrame] = []
     number = 0
     while size > 0 and (rounds is None or number < rounds):
         number += 1
         rows = sample_indexed(waiting, indexed, size, chooser, k, f"{salt}|alt|{number}")
+        if number > 1:
+            rows = rows.join(attributes, alternative)
         if interactions is not None:
             rows = rows.join(interactions, on, "left")
         priced = rows.select(chooser, alternative, utility(terms).alias("_v"))
@@ -255,9 +263,9 @@ def capacity_choice(
         waiting, remaining = scratch.write_counting(left, f"waiting-{number}")
         if remaining == 0:
             break
-        free = complement(indexed.drop("idx"), winners, alternative)
-        indexed, size = dense_index(free, alternative)
+        indexed, size = dense_index(complement(free, winners, alternative), alternative)
+        free = indexed.select(alternative)
     if not placed:
-        schema = choosers.select(chooser).join(alts.select(alternative)).schema
+        schema = T.StructType([choosers.schema[chooser], alts.schema[alternative]])
         return spark.createDataFrame([], schema).withColumn("round", F.lit(0))
     return reduce(DataFrame.unionByName, placed)
