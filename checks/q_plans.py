@@ -161,8 +161,8 @@ def _(m: Model):
 
 @query(
     "q_tod22_order",
-    "SELECT person_id, round(HW_ST, 6) AS HW_ST, round(WH_ST, 6) AS WH_ST, HW_ST < WH_ST AS ordered FROM "
-    "c_times WHERE TOD = 22".replace("HW_ST < WH_ST AS ordered", "CAST(HW_ST < WH_ST AS BIGINT) AS ordered"), 6,
+    "SELECT person_id, round(HW_ST, 6) AS HW_ST, round(WH_ST, 6) AS WH_ST, CAST(HW_ST < WH_ST AS BIGINT) AS ordered "
+    "FROM c_times WHERE TOD = 22", 6,
 )
 def _(m: Model):
     rows = times_of(m).where("TOD = 22").select("person_id", "HW_ST", "WH_ST")
