@@ -264,3 +264,13 @@ def test_outputs_are_written(day, spark, tmp_path):
     assert back.count() == out["plans"].count()
     assert spark.read.csv(f"{tmp_path}/plans.csv", header=True).columns == out["plans"].columns
     assert len(write_archive(out, str(tmp_path / "archive"))) == 6
+
+
+def test_chunked_sources_give_the_same_variables(day):
+    from dayplan.plans.access import attach_node_ids, node_variables
+
+    out, tables, _ = day
+    located = attach_node_ids({**tables, "persons": tables["persons"]})
+    chunked = node_variables(located, "walk", chunks=2)
+    whole = out["nodeswalk"].select(*chunked.columns)
+    assert chunked.exceptAll(whole).isEmpty() and whole.exceptAll(chunked).isEmpty()
