@@ -5,18 +5,20 @@ size. A document's virtual finish time is the stream's words up to and with it,
 source's target. All streams are merged in order of finish time and cut at the total budget.
 
 Running sums are formed in two levels, over slices of bounded size and over the slices' totals,
-so neither a source with a third of all rows nor the global order ends in one task.
+so neither a source with a third of all rows nor the global order ends in one task. With n rows,
+there are about sqrt(n) slices of sqrt(n) rows: both levels grow alike.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayplan.llm.shared import Scratch
 from dayplan.operators.dense_index import dense_index
 
-SLICE_ROWS = 20_000  # rows that one window of a running sum holds, about
 _TOP = 1 << 32
 
 
@@ -73,7 +75,7 @@ def _running(df: DataFrame, group: list[str], slice_: str, order: list[str], siz
 
 def fair_mix(
     docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
-    limit: float = 3.0, seed: str = "mix", slice_rows: int = SLICE_ROWS,
+    limit: float = 3.0, seed: str = "mix",
 ) -> DataFrame:
     """What the mix takes of each row: (doc_id, source, size, source_size, target, taken).
 
@@ -84,10 +86,11 @@ def fair_mix(
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mix")
-    rows = scratch.write(
+    rows, n_rows = scratch.write_counting(
         docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(text).alias("size"),
                     F.monotonically_increasing_id().alias("_uid")), "rows"
     )
+    slice_rows = max(1, math.isqrt(n_rows))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_rows"))
     targets = scratch.write(source_targets(sizes.select("source", "source_size"), limit), "targets")
     facts = targets.join(
@@ -110,11 +113,10 @@ def fair_mix(
         copies.select("_uid", "_stream", "_slice", "_pass", "_key", "size", "target", "doc_id"),
         ["_stream"], "_slice", ["_key", "size", "_uid"], "size", "_sum",
     )
-    stamped = scratch.write_counting(
+    finish, count = scratch.write_counting(
         timed.select("_uid", "_stream", "_pass", "_key", "size", (F.col("_sum") / F.col("target")).alias("_finish")),
         "finish",
     )
-    finish, count = stamped
     budget = targets.agg(F.sum("source_size")).first()[0] or 0
     parts = max(1, -(-count // slice_rows))
     queue = _running(

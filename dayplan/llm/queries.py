@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dayplan.llm import fair_mix, warc
+from dayplan.llm import fair_mix, separators, simple8b, suffix, warc
 from dayplan.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +78,47 @@ FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN g ON d.doc_id
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that weighted fair queueing takes of every document."""
     return fair_mix.fair_mix(table(spark, sf_dir, "documents"))
+
+
+@query("op2_separator_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents found by their end ids in flat token files of all texts."""
+    return separators.token_counts(table(spark, sf_dir, "documents"))
+
+
+_WORDS = "regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@query("op5_suffix_decontamination", f"""
+WITH d AS (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS.format('text')} AS w FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS k, array_to_string(w[p:p + least(10, len(w)) - 1], ' ') AS win
+  FROM i, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS u(p) WHERE len(w) > 0
+), dw AS (
+  SELECT doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS win
+  FROM d, (SELECT DISTINCT k FROM iw) ks, unnest(range(1, len(w) - k + 2)) AS u(p) WHERE len(w) >= k
+), h AS (SELECT dw.doc_id, dw.p, dw.k, iw.item_id FROM dw JOIN iw USING (k, win)),
+n AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM h, unnest(range(p, p + k)) AS u(q) GROUP BY doc_id),
+s AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n.n_hit, 0)::BIGINT AS n_hit, coalesce(s.n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(s.ids, '')) AS items_sha256, coalesce(n.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN s USING (doc_id)
+""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside benchmark windows, by suffix arrays."""
+    found = suffix.find_contamination(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select(
+        "doc_id", "found.n_words", "found.n_hit", F.size("found.items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"), (F.col("found.n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query("op9_simple8b_tokens")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all texts in order of doc_id, read back per document."""
+    return simple8b.token_round_trip(table(spark, sf_dir, "documents"))
