@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayplan.llm import fair_mix, separators, simple8b, suffix, warc
+from dayplan.llm import chosen_path, fair_mix, separators, simple8b, suffix, warc
 from dayplan.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,24 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all texts in order of doc_id, read back per document."""
     return simple8b.token_round_trip(table(spark, sf_dir, "documents"))
+
+
+@query("op10_chosen_path_join", f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + least(5, len(w)) - 1], ' ') AS g
+  FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(p) WHERE len(w) > 0
+), n AS (SELECT doc_id, count(*) AS c FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (
+  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE i::DOUBLE / (nx.c + ny.c - i)::DOUBLE >= 0.8
+), e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(doc_id, label) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT e.y, r.label FROM r JOIN e ON e.x = r.doc_id
+), c AS (SELECT doc_id, min(label) AS class_id FROM r GROUP BY doc_id),
+k AS (SELECT x AS doc_id, count(*) AS n FROM e GROUP BY x)
+SELECT c.doc_id, c.class_id, coalesce(k.n, 0)::BIGINT AS n_links FROM c LEFT JOIN k USING (doc_id)
+""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near-equal texts and number of links of every document."""
+    return chosen_path.similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
