@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayplan.llm import chosen_path, fair_mix, separators, simple8b, suffix, warc
+from dayplan.llm import chosen_path, fair_mix, neighbours, separators, simple8b, suffix, warc
 from dayplan.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,9 @@ SELECT c.doc_id, c.class_id, coalesce(k.n, 0)::BIGINT AS n_links FROM c LEFT JOI
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near-equal texts and number of links of every document."""
     return chosen_path.similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
+@query("op3_multiprobe_neighbours")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest rows of every fiftieth vector."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
