@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayplan.llm import chosen_path, fair_mix, neighbours, separators, simple8b, suffix, warc
+from dayplan.llm import chosen_path, deobfuscate, fair_mix, labels, neighbours, separators, simple8b, suffix, warc
 from dayplan.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five nearest rows of every fiftieth vector."""
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def _judged(scores: DataFrame, held_out) -> DataFrame:
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op8_noisy_channel_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document after its disguised words are restored."""
+    docs, held_out = table(spark, sf_dir, "documents"), labels.fold("doc_id", 5) == 0
+    model = deobfuscate.fit_toxicity(docs, table(spark, sf_dir, "labels"), learn=~held_out)
+    return _judged(deobfuscate.score_toxicity(docs, model), held_out)
