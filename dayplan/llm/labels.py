@@ -16,9 +16,9 @@ def fold(doc_id: str, parts: int) -> Column:
 
 def sample(
     docs: DataFrame, labels: DataFrame, label: str, learn: Column, doc_id: str = "doc_id", text: str = "text",
-    rows: int = SAMPLE_ROWS,
+    rows: int = SAMPLE_ROWS, extra: list[str] | None = None,
 ) -> DataFrame:
-    """(doc_id, text, label, half) of at most ``rows`` labelled documents that ``learn`` allows.
+    """(doc_id, text, label, half, and columns ``extra`` as doubles) of at most ``rows`` labelled documents that ``learn`` allows.
 
     The ids are chosen by hash before any text is read; they are bounded by ``rows``, so they are
     broadcast and the documents do not move. A document with several labels takes the largest;
@@ -30,9 +30,11 @@ def sample(
         .withColumnRenamed("_id", doc_id).where(learn).orderBy(F.xxhash64(doc_id), doc_id).limit(rows)
         .withColumnRenamed(doc_id, "_id")
     )
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(
-        F.broadcast(chosen), F.col("doc_id") == F.col("_id")
-    ).select("doc_id", "text", "label", (F.abs(F.xxhash64("doc_id", F.lit("half"))) % 2).cast("int").alias("half"))
+    read = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
+                       *[F.col(c).cast("double").alias(c) for c in extra or []])
+    return read.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).withColumn(
+        "half", (F.abs(F.xxhash64("doc_id", F.lit("half"))) % 2).cast("int")
+    ).select("doc_id", "text", "label", "half", *(extra or []))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayplan.llm import chosen_path, deobfuscate, fair_mix, labels, neighbours, separators, simple8b, suffix, warc
+from dayplan.llm import chosen_path, deobfuscate, factorisation, fair_mix, labels, neighbours, separators, simple8b, suffix, warc
 from dayplan.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,6 +155,14 @@ def _judged(scores: DataFrame, held_out) -> DataFrame:
     return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query("op6_factorisation_quality")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by a factorisation machine."""
+    docs, held_out = table(spark, sf_dir, "documents"), labels.fold("doc_id", 3) == 1
+    model = factorisation.fit_quality(docs, table(spark, sf_dir, "labels"), learn=~held_out, metadata=["n_chars"])
+    return _judged(factorisation.score_quality(docs, model, metadata=["n_chars"]), held_out)
+
+
 @query("op8_noisy_channel_toxicity")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document after its disguised words are restored."""
