@@ -31,6 +31,7 @@ MAGIC = 0x3130_4238_5331_4454
 COUNT = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 BITS = np.array([64, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
 _POWERS = np.uint64(1) << np.arange(64, dtype=np.uint64)
+_WIDTH = np.searchsorted(_POWERS, np.arange(1 << 16, dtype=np.uint64), side="right").astype(np.uint8)
 
 
 def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
@@ -44,7 +45,8 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]
     flat = np.zeros(blocks * block, np.uint64)
     flat[: len(ids)] = ids
     padded[:, :block] = flat.reshape(blocks, block)
-    need = np.searchsorted(_POWERS, padded, side="right").astype(np.uint8)
+    small = int(ids.max()) < len(_WIDTH)
+    need = _WIDTH[padded] if small else np.searchsorted(_POWERS, padded, side="right").astype(np.uint8)
     # the best selector at every place: the one with most ids whose widest id fits
     best = np.where(need > 60, 0, 15).astype(np.uint8)
     most, seen = need.copy(), 1
