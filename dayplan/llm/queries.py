@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayplan.llm import chosen_path, deobfuscate, factorisation, fair_mix, labels, neighbours, separators, simple8b, suffix, warc
+from dayplan.llm import chosen_path, deobfuscate, disclosure, factorisation, fair_mix, labels, neighbours, separators, simple8b, suffix, warc
 from dayplan.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,25 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), labels.fold("doc_id", 5) == 0
     model = deobfuscate.fit_toxicity(docs, table(spark, sf_dir, "labels"), learn=~held_out)
     return _judged(deobfuscate.score_toxicity(docs, model), held_out)
+
+
+@query("op7_disclosure_sanitisation")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document and the terms that give it away."""
+    found = disclosure.find_disclosures(table(spark, sf_dir, "documents"))
+    kind = F.array(*[F.lit(k) for k in disclosure.KINDS])
+    base = F.transform("found", lambda s: F.struct(
+        s["start"].alias("start"), s["kind"].alias("kind"),
+        F.concat_ws(":", F.element_at(kind, s["kind"] + 1), s["start"], s["end"]).alias("name")))
+    terms = F.transform("terms", lambda s: F.struct(
+        s["start"].alias("start"), F.lit(len(disclosure.KINDS)).alias("kind"),
+        F.concat_ws(":", F.lit("term"), s["start"], s["end"]).alias("name")))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: s["name"]), ",")
+
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}")
+          for k, name in enumerate(disclosure.KINDS)],
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.array_sort(F.concat(base, terms))).alias("spans"))
