@@ -160,8 +160,9 @@ def _matrix(column: pd.Series, places: int) -> np.ndarray:
 
 
 def sketch_rows(docs: DataFrame, doc_id: str, text: str, size: int, places: int) -> DataFrame:
-    """(doc_id, k1, k2, n, h, sketch) of every row; n = 0 and an empty sketch without words."""
-    read = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    """(doc_id, key, k1, k2, n, h, sketch) of every row; n = 0 and an empty sketch without words."""
+    read = docs.select(
+        F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -170,12 +171,12 @@ def sketch_rows(docs: DataFrame, doc_id: str, text: str, size: int, places: int)
                 k1, k2 = set_keys(tokens, sizes)
                 made = sketches(tokens, sizes, places)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(k1), pa.array(k2), pa.array(sizes),
+                    [batch.column(0), batch.column(2), pa.array(k1), pa.array(k2), pa.array(sizes),
                      pa.array(row_hash(k1, batch.column(0))),
                      pa.array([made[i].tobytes() if sizes[i] else b"" for i in range(len(sizes))], pa.binary())],
-                    names=["doc_id", "k1", "k2", "n", "h", "sketch"])
+                    names=["doc_id", "key", "k1", "k2", "n", "h", "sketch"])
 
-    return read.mapInArrow(run, "doc_id bigint, k1 bigint, k2 bigint, n bigint, h bigint, sketch binary")
+    return read.mapInArrow(run, "doc_id bigint, key bigint, k1 bigint, k2 bigint, n bigint, h bigint, sketch binary")
 
 
 def _grow(rows: DataFrame, runs: int | None, similarity: float, places: int) -> DataFrame:
@@ -362,13 +363,14 @@ def similar_documents(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, similarity: float = SIMILARITY,
     recall: float = RECALL, depth: int = DEPTH, leaf: int = LEAF, places: int = PLACES,
 ) -> DataFrame:
-    """(doc_id, class_id, n_links, n_text_links, k1, k2) of every row of ``docs``.
+    """(doc_id, class_id, n_links, n_text_links, class_key, key) of every row of ``docs``.
 
     Two documents are linked if the Jaccard similarity of their sets of n-grams is at least
     ``similarity``; a class is a connected group, named by its least doc_id. ``n_links`` counts the
-    other documents linked to one, copies too; ``n_text_links`` counts the different texts. k1 and
-    k2 name the set. Documents without words have no link and are their own class (null if doc_id
-    is). Repeated rows count as copies. Links found are exact; one is lost with a chance below
+    other documents linked to one, copies too; ``n_text_links`` counts the different texts.
+    ``class_key`` tells classes apart even where ids repeat or are null, ``key`` is xxhash64 of the
+    text. Documents without words have no link and are their own class (null if doc_id is; their
+    class_key is null). Repeated rows count as copies. Links found are exact; one is lost with a chance below
     1 - ``recall`` for a pair at ``similarity`` that no third text ties together.
     """
     spark = docs.sparkSession
@@ -397,11 +399,37 @@ def similar_documents(
         .withColumn("root", F.coalesce("root", "id")), "final")
     names = final.groupBy(F.col("root").alias("r")).agg(F.min("least_doc").alias("class_id"))
     known = final.join(names, F.col("root") == F.col("r")).select(
-        F.col("k1").alias("c1"), F.col("k2").alias("c2"), "class_id",
+        F.col("k1").alias("c1"), F.col("k2").alias("c2"), "class_id", F.col("root").alias("class_key"),
         (F.coalesce("documents", F.lit(0)) + F.col("copies") - 1).alias("links"),
         F.coalesce("texts", F.lit(0)).alias("texts"))
-    found = rows.select("doc_id", "k1", "k2", "n").join(
+    found = rows.select("doc_id", "key", "k1", "k2", "n").join(
         known, (F.col("n") > 0) & (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")), "left")
     return found.select(
         "doc_id", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
-        F.coalesce("links", F.lit(0)).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_text_links"), "k1", "k2")
+        F.coalesce("links", F.lit(0)).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_text_links"),
+        "class_key", "key")
+
+
+def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """The row with the least id of each class of ``docs``, with its columns as they are.
+
+    Ties go to the least hash of the text, a null id comes last, and of rows that agree in both one
+    stays. Rows without words are all kept. What goes is named by id and hash and taken away by an
+    anti join; the planner broadcasts the names only when their stored size is small.
+    """
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "keep-one")
+    found = scratch.write(similar_documents(docs, doc_id, text, **settings).where("class_key is not null"), "classes")
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "key")
+    best = found.groupBy(F.col("class_key").alias("c")).agg(F.min(place).alias("best"))
+    judged = found.groupBy("class_key", "doc_id", "key").agg(F.count("*").alias("n")).join(
+        best, F.col("class_key") == F.col("c")).select("doc_id", "key", "n", (place == F.col("best")).alias("stays"))
+    judged = scratch.write(judged, "judged")
+    row = docs.select(F.struct("*").alias("row"), F.col(doc_id).cast("bigint").alias("d"), F.xxhash64(F.col(text)).alias("h"))
+    same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("key"))
+    kept = row.join(judged.where("not stays").select("doc_id", "key"), same, "left_anti")
+    twice = judged.where("stays and n > 1").select("doc_id", "key")
+    if not twice.isEmpty():
+        kept = kept.join(twice, same, "left_anti").unionAll(
+            kept.join(twice, same, "left_semi").dropDuplicates(["d", "h"]))
+    return kept.select("row.*")

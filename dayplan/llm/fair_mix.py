@@ -77,18 +77,18 @@ def fair_mix(
     docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
     limit: float = 3.0, seed: str = "mix",
 ) -> DataFrame:
-    """What the mix takes of each row: (doc_id, source, size, source_size, target, taken).
+    """What the mix takes of each row: (doc_id, source, size, source_size, target, taken, key).
 
     ``taken`` counts the words of all copies that finish within the budget; the copy that crosses
     it is cut there. Order within a stream is md5(seed:pass:doc_id), then size; rows that agree in
     both are exchangeable. Rows without words take nothing. A null doc_id hashes as empty text.
-    An empty table gives an empty result.
+    ``key`` is xxhash64 of the text. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mix")
     rows, n_rows = scratch.write_counting(
         docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(text).alias("size"),
-                    F.monotonically_increasing_id().alias("_uid")), "rows"
+                    F.xxhash64(F.col(text)).alias("key"), F.monotonically_increasing_id().alias("_uid")), "rows"
     )
     slice_rows = max(1, math.isqrt(n_rows))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_rows"))
@@ -127,5 +127,31 @@ def fair_mix(
         F.sum(F.least(F.col("size"), F.lit(budget) - F.col("_total") + F.col("size"))).alias("taken")
     )
     return known.join(took, "_uid", "left").select(
-        "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken")
+        "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"),
+        "key",
     )
+
+
+def mixed_rows(
+    docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", **settings,
+) -> DataFrame:
+    """The mix itself: rows of ``docs``, with their columns as they are, as often as they are taken.
+
+    A copy that the budget cuts counts as a whole one. Rows meet their counts by id, source and
+    hash of the text; where rows repeat, those that agree in all three are numbered first.
+    """
+    scratch = Scratch(docs.sparkSession, "mixed")
+    took = scratch.write(
+        fair_mix(docs, doc_id, source, text, **settings).where("taken > 0").select(
+            F.col("doc_id").alias("t_id"), F.col("source").alias("t_source"), F.col("key").alias("t_key"),
+            F.ceil(F.col("taken") / F.col("size")).cast("int").alias("copies")), "taken")
+    row = docs.select(
+        F.struct("*").alias("row"), F.col(doc_id).alias("d"), F.col(source).alias("s"), F.xxhash64(F.col(text)).alias("h"))
+    same = F.col("d").eqNullSafe(F.col("t_id")) & F.col("s").eqNullSafe(F.col("t_source")) & (F.col("h") == F.col("t_key"))
+    again = took.groupBy("t_id", "t_source", "t_key").count().where("count > 1")
+    if not again.isEmpty():
+        number = F.row_number().over(Window.partitionBy("t_id", "t_source", "t_key").orderBy(F.desc("copies")))
+        took = took.withColumn("t_nth", number)
+        row = row.withColumn("nth", F.row_number().over(Window.partitionBy("d", "s", "h").orderBy("h")))
+        same = same & (F.col("nth") == F.col("t_nth"))
+    return row.join(took, same).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -77,7 +77,7 @@ FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN g ON d.doc_id
 @query("op4_fair_mix", _MIX_SQL.format(docs="documents"))
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that weighted fair queueing takes of every document."""
-    return fair_mix.fair_mix(table(spark, sf_dir, "documents"))
+    return fair_mix.fair_mix(table(spark, sf_dir, "documents")).drop("key")
 
 
 @query("op2_separator_scan")
