@@ -47,9 +47,10 @@ def shingles(words: Words, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
     first = np.cumsum(counts) - counts
     with np.errstate(over="ignore"):
         factor = mix(np.arange(size, dtype=np.uint64), 11) | np.uint64(1)
-        total = np.zeros(max(0, n - size + 1), np.uint64)
+        span = max(0, n - size + 1)
+        total = np.zeros(span, np.uint64)
         for k in range(size):
-            total += words.hash[k : n - size + 1 + k] * factor[k]
+            total += words.hash[k : k + span] * factor[k]
         total = mix(total)
         short = np.flatnonzero((counts > 0) & (counts < size))
         alone = np.zeros(len(short), np.uint64)
