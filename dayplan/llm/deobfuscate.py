@@ -65,9 +65,10 @@ def count_trigrams(docs: DataFrame, text: str) -> DataFrame:
         for whole in batches:
             for batch in pieces(whole, text):
                 data, ends = text_bytes(batch.column(0))
-                symbol = np.zeros(len(data) + batch.num_rows + 2, np.int32)
+                # two symbols of outside around every text, so none is counted together with its neighbour
+                symbol = np.zeros(len(data) + 2 * batch.num_rows + 2, np.int32)
                 row = np.repeat(np.arange(batch.num_rows), np.diff(ends))
-                symbol[np.arange(len(data)) + row + 1] = _SYMBOL[data]
+                symbol[np.arange(len(data)) + 2 * row + 2] = _SYMBOL[data]
                 gram = (symbol[:-2] * SYMBOLS + symbol[1:-1]) * SYMBOLS + symbol[2:]
                 found = np.bincount(gram, minlength=SYMBOLS**3)
                 total = found if total is None else total + found

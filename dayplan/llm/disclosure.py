@@ -235,6 +235,7 @@ def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **sett
     spans = find_disclosures(docs, doc_id, text, **settings).dropDuplicates(["doc_id", "key"]).where(
         "size(found) + size(terms) > 0").select(
         F.col("doc_id").alias("_d"), F.col("key").alias("_k"), F.col("found").alias("_found"), F.col("terms").alias("_terms"))
+    columns = docs.columns
     joined = docs.join(
         spans, F.col(doc_id).cast("bigint").eqNullSafe(F.col("_d")) & (F.xxhash64(F.col(text)) == F.col("_k")), "left").drop("_d", "_k")
 
@@ -252,6 +253,6 @@ def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **sett
                             at = end
                     body = "".join([*parts, body[at:]])
                 clean.append(body)
-            yield frame.assign(**{text: clean})[docs.columns]
+            yield frame.assign(**{text: clean})[columns]
 
     return joined.mapInPandas(run, ddl(struct_fields(docs)))
