@@ -188,19 +188,31 @@ def disclosing_terms(found: DataFrame, read: DataFrame, scratch: Scratch, suppor
 
     share = log(N n(e,t) / n(e) n(t)) / log(N / n(e)), all counts in documents. An entity that is in every document has no
     information to disclose. Pairs are counted with map-side combine; an entity or term in a third of
-    all documents is few rows when it moves.
+    all documents is few rows when it moves. Only pairs that would pass if their term occurred nowhere
+    but near entities (n_near documents, at most n(t)) need their term counted over the corpus.
     """
-    pairs = scratch.write(
+    total = float(max(found.count(), 1))
+    own = F.log(F.lit(total) / F.col("n_e"))
+
+    def share(n_t: str):
+        return F.log(F.lit(total) * F.col("n_et") / (F.col("n_e") * F.col(n_t))) / own
+
+    pairs = (
         found.select(F.explode("near").alias("p")).groupBy("p.e", "p.t").agg(F.count("*").alias("n_et"))
-        .where(F.col("n_et") >= support), "pairs")
+        .where(F.col("n_et") >= support)
+    )
     names = found.select(F.explode("names").alias("ee")).groupBy("ee").agg(F.count("*").alias("n_e"))
-    total = found.count()
-    terms = count_terms(read, pairs.select("t").distinct()).select(F.col("t").alias("tt"), F.col("n").alias("n_t"))
-    own = F.log(F.lit(float(max(total, 1))) / F.col("n_e"))
-    shared = F.log(F.lit(float(max(total, 1))) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
+    nearby = (
+        found.select(F.explode(F.array_distinct(F.transform("near", lambda p: p["t"]))).alias("tn"))
+        .groupBy("tn").agg(F.count("*").alias("n_near"))
+    )
+    possible = scratch.write(
+        pairs.join(names, F.col("e") == F.col("ee")).join(nearby, F.col("t") == F.col("tn"))
+        .where((own > 0) & (share("n_near") >= least)).select("t", "n_et", "n_e"), "pairs")
+    terms = count_terms(read, possible.select("t").distinct()).select(F.col("t").alias("tt"), F.col("n").alias("n_t"))
     return (
-        pairs.join(names, F.col("e") == F.col("ee")).join(terms, F.col("t") == F.col("tt"))
-        .where(own > 0).groupBy("t").agg(F.max(shared / own).alias("share")).where(F.col("share") >= least)
+        possible.join(terms, F.col("t") == F.col("tt"))
+        .groupBy("t").agg(F.max(share("n_t")).alias("share")).where(F.col("share") >= least)
     )
 
 
