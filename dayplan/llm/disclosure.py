@@ -26,6 +26,7 @@ SUPPORT = 2  # documents in which a term is near an entity before it can disclos
 GENERALISE = 0.85  # share of an entity's information
 REMOVE = 0.95
 MIN_BYTES = 3  # shorter terms are not counted
+HELD_TERMS = 1 << 20  # counts that a task holds, up to twice as many for a moment
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -143,20 +144,37 @@ def find_entities(read: DataFrame) -> DataFrame:
 def count_terms(read: DataFrame, terms: DataFrame) -> DataFrame:
     """(t, n): documents in which each of ``terms`` (t) occurs, and few other terms.
 
-    A bit filter of fixed size keeps words out that are in no entity's neighbourhood; each task adds
-    up its texts before the shuffle.
+    A bit filter of fixed size keeps words out that are in no entity's neighbourhood. A task adds up
+    its texts before the shuffle; whenever it holds HELD_TERMS different ones it gives them out.
     """
     bits = read.sparkSession.sparkContext.broadcast(bit_filter(terms.select("t")))
 
+    def added(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        hashes, which = np.unique(np.concatenate([h for h, _ in counts]), return_inverse=True)
+        return hashes, np.bincount(which, np.concatenate([n for _, n in counts]), len(hashes)).astype(np.int64)
+
+    def rows(counts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for hashes, n in counts:
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], names=["t", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for whole in batches:
             for batch in pieces(whole, "text"):
                 words = Words(batch.column(0))
                 may = np.flatnonzero(in_filter(bits.value, words.hash.view(np.int64)))
                 hashes, which = np.unique(words.hash[may], return_inverse=True)
                 pair = np.unique(which * words.rows + words.row[may]) // max(1, words.rows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes.view(np.int64)), pa.array(np.bincount(pair, minlength=len(hashes)))], names=["t", "n"])
+                held.append((hashes, np.bincount(pair, minlength=len(hashes))))
+                size += len(hashes)
+                if size > 2 * HELD_TERMS:
+                    held = [added(held)]
+                    size = len(held[0][0])
+                    if size > HELD_TERMS:
+                        yield from rows(held)
+                        held, size = [], 0
+        if held:
+            yield from rows([added(held)])
 
     return read.select("text").mapInArrow(run, "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n"))
 
