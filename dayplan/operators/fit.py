@@ -141,7 +141,10 @@ def fit_conditional_logit(
     tolerance: float = 1e-8,
     max_iterations: int = 50,
 ) -> FitResult:
-    """Maximum-likelihood coefficients of a long choice table with a 0/1 ``chosen`` column."""
+    """Maximum-likelihood coefficients of a long choice table with a 0/1 ``chosen`` column.
+
+    Raises if ``max_iterations`` Newton steps do not reach ``tolerance`` or no step gains.
+    """
     packed = materialize(pack_choices(table, chooser, chosen, terms), "fit")
     sizes = packed.groupBy("j").agg(F.count("*").alias("n")).collect()  # a row per set size
     n = sum(r["n"] for r in sizes)
@@ -157,11 +160,15 @@ def fit_conditional_logit(
         scale = 1.0
         while True:
             trial = _evaluate(packed, beta + scale * step)
-            if trial[0] >= ll - 1e-12 * abs(ll) or scale < 1e-6:
+            if trial[0] >= ll - 1e-12 * abs(ll):
                 break
             scale /= 2.0
+            if scale < 1e-6:
+                raise RuntimeError("no step along the Newton direction gains")
         beta = beta + scale * step
         ll, gradient, hessian = trial
+    else:
+        raise RuntimeError(f"not converged after {max_iterations} steps")
     cov = np.linalg.inv(-hessian)
     labels = names or [":".join(t) for t in terms]
     return FitResult(labels, beta.tolist(), cov.tolist(), n, ll, ll_null)

@@ -52,11 +52,11 @@ def _merge(tables: dict[str, DataFrame], child: str, names: set[str]) -> tuple[D
 
 
 def update_column(df: DataFrame, key: str, values: DataFrame, column: str) -> DataFrame:
-    """Overwrite ``column`` where ``values`` has the key; other rows keep what they had."""
-    new = values.select(F.col(key), F.col(column).alias("_new"))
+    """Overwrite ``column`` where ``values`` has the key, with null too; other rows keep what they had."""
+    new = values.select(F.col(key), F.col(column).alias("_new"), F.lit(True).alias("_there"))
     old = F.col(column) if column in df.columns else F.lit(None)
     joined = df.join(new, key, "left")
-    return joined.withColumn(column, F.coalesce(F.col("_new"), old)).drop("_new")
+    return joined.withColumn(column, F.when(F.col("_there"), F.col("_new")).otherwise(old)).drop("_new", "_there")
 
 
 def complement(df: DataFrame, part: DataFrame, key: str) -> DataFrame:

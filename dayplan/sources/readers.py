@@ -108,13 +108,13 @@ def winsorise_rentals(rentals: DataFrame) -> DataFrame:
 
 
 def fill_access_indicators(df: DataFrame) -> DataFrame:
-    """Pad the block code to 15 digits and fill each measure with its median."""
+    """Pad the block code to 15 digits and fill each measure, where null or NaN, with its median."""
     measures = [
         f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)
     ]
     medians = {c: m for c, m in exact_medians(df, measures).items() if m is not None}
     filled = [
-        F.coalesce(F.col(c), F.lit(medians[c])).alias(c) if c in medians else F.col(c)
+        F.when(F.col(c).isNull() | F.isnan(c), F.lit(medians[c])).otherwise(F.col(c)).alias(c) if c in medians else F.col(c)
         for c in df.columns
         if c != "block_id"
     ]

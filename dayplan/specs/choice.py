@@ -215,7 +215,7 @@ WLCM = [
     (-0.5689579090165822, ["log1p(cost_da_toll)", "hh_inc_under_25k"]),
     (-0.47912610162495944, ["log1p(cost_da_toll)", "hh_inc_25_to_75k"]),
     (-0.2584279932612762, ["log1p(cost_da_toll)", "hh_inc_75_to_200k"]),
-    (0.3597417473883604, ["no_higher_ed", "sector_retail"]),
+    (0.3597418473883604, ["no_higher_ed", "sector_retail"]),
     (-1.0086728730402355, ["no_higher_ed", "sector_fire"]),
     (-0.7369829720548989, ["no_higher_ed", "sector_healthcare"]),
     (-1.5648198533852742, ["no_higher_ed", "sector_tech"]),

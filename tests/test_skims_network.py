@@ -227,3 +227,13 @@ def test_nearest_node_matches_brute_force(spark):
     for i, x, y in points:
         want = None if x is None else min(((x - a) ** 2 + (y - b) ** 2, n) for n, a, b in nodes)[1]
         assert got[i] == want, i
+
+
+def test_nearest_node_unknown_coordinates(spark):
+    nan, inf = float("nan"), float("inf")
+    nodes = [(i, i * 0.1, 0.0) for i in range(40)] + [(90, nan, 0.0), (91, 0.0, inf), (92, None, 0.0)]
+    points = [(1, 0.11, 0.0), (2, nan, 0.0), (3, 0.0, -inf), (4, None, None)]
+    p = spark.createDataFrame(points, "id long, x double, y double")
+    net = spark.createDataFrame(nodes, "osmid long, x double, y double")
+    got = {r["id"]: r["node_id"] for r in nearest_node(p, net, "id", "x", "y").collect()}
+    assert got == {1: 1, 2: None, 3: None, 4: None}

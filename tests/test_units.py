@@ -21,6 +21,7 @@ from dayplan.operators.order_stats import exact_medians, order_statistics
 from dayplan.operators.relations import complement, filter_all, lookup, merge_tables, update_column
 from dayplan.operators.zones import zone_avg_income, zone_totals
 from dayplan.session import scratch_dir
+from dayplan.sources.readers import fill_access_indicators
 from dayplan.specs import choice, network, recodes, tables
 from dayplan.specs.departures import EARLY_24, HOME_TO_WORK, LATE_24, WORK_TO_HOME
 
@@ -167,10 +168,19 @@ def test_update_filter_complement(spark):
     assert {r["k"]: r["v"] for r in update_column(df, "k", new, "v").collect()} == {1: 50, 2: 60, 3: 7}
     added = update_column(df.drop("v"), "k", new, "v")
     assert {r["k"]: r["v"] for r in added.collect()} == {1: 50, 2: 60, 3: None}
+    none = spark.createDataFrame([(1, None)], "k long, v long")
+    assert {r["k"]: r["v"] for r in update_column(df, "k", none, "v").collect()} == {1: None, 2: None, 3: 7}
     assert column(filter_all(df, ["v > 4", "k < 3"]), "k") == [1]
     assert column(complement(df, new, "k"), "k") == [3]
 
 
+def test_indicators_fill_null_and_nan(spark):
+    nan = float("nan")
+    rows = [("1", 1.0), ("2", 3.0), ("3", nan), ("4", None)]
+    got = fill_access_indicators(spark.createDataFrame(rows, "block_id string, a double")).collect()
+    assert sorted((int(r["block_id"]), r["a"]) for r in got) == [(1, 1.0), (2, 3.0), (3, 2.0), (4, 2.0)]
+
+
 def test_zone_totals_and_mean_of_means(spark):
     t = {
         "zones": spark.createDataFrame([(1,), (2,)], "zone_id long"),
