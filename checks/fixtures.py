@@ -1,9 +1,8 @@
 """Model tables derived from the given parquet tables, in Spark SQL and in DuckDB SQL.
 
 Both engines get the same definitions; only a few words differ (uniform draws, string
-type, row expansion). A travel-model zone system has a fixed size, so suppliers map onto
-at most 1,454 zones: the pair table stays bounded while people, jobs and observations
-grow with the data.
+type, row expansion). Every supplier is a zone, and the pair table holds the zone pairs
+that occur, so all tables grow with the data and none is squared.
 """
 
 from __future__ import annotations
@@ -11,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-ZONES = 1454
 SECTOR_CODES = (44, 45, 62, 51, 54, 72, 31, 32, 33, 61, 81, 23, 92, 52, 53, 42, 56, 48, 71, 22, 11)
 SKIM_MEASURES = {
     "da": ("Time", "cost", "distance"),
@@ -79,12 +77,12 @@ def _skim_columns() -> str:
 def definitions(d) -> dict[str, str]:
     """Table name to SQL; {name} stands for a base or an earlier table."""
     u, s = d.u, d.text
-    zc = f"(SELECT least(count(*), {ZONES}) FROM {{supplier}})"
+    zc = "(SELECT count(*) FROM {supplier})"
     np_ = "(SELECT count(*) FROM {part})"
     nr = "(SELECT ceil(count(*) / CAST(50 AS DOUBLE)) FROM {part})"
     dbl = "CAST({} AS DOUBLE)".format
     case = " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(SECTOR_CODES))
-    block = f"lpad(CAST(p_partkey * 37 % 5000 AS {s}), 15, '0')"
+    block = f"lpad(CAST((p_partkey - p_partkey % 4) * 37 AS {s}), 15, '0')"
     indicators = ", ".join(
         f"CASE WHEN {u('n' + str(i), 'block_id')} < 0.1 THEN NULL ELSE "
         f"CAST(floor({u('v' + str(i), 'block_id')} * {100000 - 5000 * i}) AS DOUBLE) END AS {name}"
@@ -142,9 +140,15 @@ def definitions(d) -> dict[str, str]:
         f"CASE WHEN {u('rn', 'o_orderkey')} < 0.05 THEN NULL ELSE CAST(floor(o_totalprice / 30) AS DOUBLE) END AS rent, "
         f"o_totalprice / 30 / (400 + floor({u('rs', 'o_orderkey')} * 1600)) AS rent_sqft, "
         f"{u('rx', 'o_orderkey')} AS longitude, {u('ry', 'o_orderkey')} AS latitude FROM {{orders}}",
-        "mtc_skims": f"SELECT p.orig, p.dest, {_skim_columns()} FROM (SELECT a.orig, "
-        f"{d.expand('a.zc')} AS dest FROM (SELECT /*+ REPARTITION(16) */ zone_id AS orig, (SELECT count(*) FROM {{zones}}) "
-        "AS zc FROM {zones}) a) p",
+        # the pairs that trips or commuters use, and every zone with itself
+        "mtc_skims": f"SELECT p.orig, p.dest, {_skim_columns()} FROM (SELECT orig, dest FROM ("
+        "SELECT zone_id AS orig, zone_id AS dest FROM {zones} UNION ALL "
+        f"SELECT l_suppkey % {zc} + 1, o_custkey % {zc} + 1 FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey "
+        "UNION ALL SELECT hp.zone_id, jp.zone_id FROM {persons} p JOIN {persons_work} w ON w.person_id = p.person_id "
+        "JOIN {households} h ON h.household_id = p.household_id JOIN {buildings} hb ON hb.building_id = h.building_id "
+        "JOIN {parcels} hp ON hp.parcel_id = hb.parcel_id JOIN {jobs} j ON j.job_id = w.job_id "
+        "JOIN {buildings} jb ON jb.building_id = j.building_id JOIN {parcels} jp ON jp.parcel_id = jb.parcel_id"
+        ") x GROUP BY orig, dest) p",
         "beam_skims_raw": f"SELECT l_suppkey % {zc} + 1 AS origTaz, o_custkey % {zc} + 1 AS destTaz, "
         "CASE l_returnflag WHEN 'R' THEN 'CAR' WHEN 'N' THEN 'WALK_TRANSIT' ELSE 'BIKE' END AS mode, "
         "CAST(6 + (l_orderkey + l_linenumber) % 5 AS BIGINT) AS hour, "
@@ -159,15 +163,16 @@ def definitions(d) -> dict[str, str]:
         f"FROM {{part}} WHERE p_partkey % 50 < 49 AND p_partkey + 1 < {np_} "
         "UNION ALL SELECT p_partkey, p_partkey + 50, CAST(60 + p_size * 10 AS DOUBLE) "
         f"FROM {{part}} WHERE p_partkey + 50 < {np_}",
+        # the blocks are numbered from another start than those of the parcels: some match nothing
         "access_indicators": f"SELECT block_id, {indicators} FROM (SELECT DISTINCT "
-        f"CAST(p_partkey * 37 % 5000 AS {s}) AS block_id FROM {{part}}) b "
-        f"WHERE {u('na', 'block_id')} >= 0.1",  # a tenth of the blocks has no indicators
-        "zone_accessibility": "SELECT zone_id AS taz1454, "
+        f"CAST((p_partkey - p_partkey % 4) * 37 + 3700 AS {s}) AS block_id FROM {{part}}) b",
+        # numbered from another start than the zones: the first zones match nothing
+        "zone_accessibility": "SELECT zone_id + 3 AS taz1454, "
         + ", ".join(
             f"CAST(floor({u('z' + str(i), 'zone_id')} * 50000) AS DOUBLE) AS {c}"
             for i, c in enumerate(("da_15", "wTrnW_15", "bike_15", "walk_15"))
         )
-        + f" FROM {{zones}} WHERE {u('zz', 'zone_id')} < 0.9",
+        + " FROM {zones}",
         "survey_households": "SELECT c_custkey AS SAMPN, "
         f"CASE WHEN {u('si', 'c_custkey')} < 0.05 THEN CAST(98 AS BIGINT) "
         f"ELSE CAST(1 + floor({u('sj', 'c_custkey')} * 10) AS BIGINT) END AS INCOM FROM {{customer}}",

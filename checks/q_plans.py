@@ -122,22 +122,25 @@ step(
         for n in _TABLES
     ),
 )
-_pair = "SELECT person_id, hw, wh FROM c_drawn WHERE TOD = 22 AND hw >= wh"
-for _i in range(1, 13):
-    _key = f"concat(person_id, '|{_i}')"
-    _again = lambda slot: open_u(SALT + "|again", _key, slot)
-    _pair = (
-        f"SELECT person_id, hw, CASE WHEN hw >= wh THEN {law_sql(WORK_TO_HOME[22], _again(0))} ELSE wh END AS wh "
-        f"FROM ({_pair})"
-    )
-    _pair = (
-        f"SELECT person_id, CASE WHEN hw >= wh THEN {law_sql(HOME_TO_WORK[22], _again(1))} ELSE hw END AS hw, wh "
-        f"FROM ({_pair})"
-    )
-step("c_ordered", _pair)
+# pairs of code 22 in the wrong order: work by its law given that home came first, then home
+step(
+    "c_knots_later",
+    "SELECT i, t[i + 1] AS a, t[i + 2] AS b FROM (SELECT CAST(["
+    + ", ".join(map(repr, laws.later_knots(HOME_TO_WORK[22], WORK_TO_HOME[22])))
+    + f"] AS DOUBLE[]) AS t, unnest(range({laws.KNOTS})) AS i)",
+)
+_home = HOME_TO_WORK[22]
+_upto = f"u_hw * (1 - exp(-pow((wh - {_home.loc!r}) / {_home.scale!r}, {_home.shape[0]!r})))"
+step(
+    "c_ordered",
+    f"SELECT person_id, {_home.loc!r} + {_home.scale!r} * pow({minus_log('q')}, {1 / _home.shape[0]!r}) AS hw, wh FROM ("
+    f"SELECT *, {_upto} AS q FROM (SELECT person_id, u_hw, k.a + (k.b - k.a) * (u_wh * {laws.KNOTS} - k.i) AS wh FROM ("
+    f"SELECT person_id, {open_u(SALT + '|again', 'person_id', 0)} AS u_wh, {open_u(SALT + '|again', 'person_id', 1)} AS u_hw "
+    f"FROM c_drawn WHERE TOD = 22 AND hw >= wh) x JOIN c_knots_later k ON k.i = floor(u_wh * {laws.KNOTS})))",
+)
 step(
     "c_times",
-    "SELECT d.person_id, d.TOD, coalesce(least(o.hw, o.wh), d.hw) AS HW_ST, coalesce(greatest(o.hw, o.wh), "
+    "SELECT d.person_id, d.TOD, coalesce(o.hw, d.hw) AS HW_ST, coalesce(o.wh, "
     "CASE WHEN d.TOD IN (14, 24) AND d.wh > 24 THEN d.wh - 24 ELSE d.wh END) AS WH_ST "
     "FROM c_drawn d LEFT JOIN c_ordered o ON o.person_id = d.person_id",
 )

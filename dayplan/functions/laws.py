@@ -169,12 +169,42 @@ class Law:
     def quantile(self, u: Column) -> Column:
         """Time of day for a uniform draw in (0, 1)."""
         if self.tabulated:
-            text = ",".join(repr(v) for v in self.knots)
-            table = F.split(F.lit(text), ",").cast("array<double>")  # folded to one literal
-            at = u * float(KNOTS)
-            i = F.floor(at).cast("int")
-            left, right = F.element_at(table, i + 1), F.element_at(table, i + 2)
-            return left + (right - left) * (at - i)
+            return between_knots(self.knots, u)
         f_low, f_high = self.mass
         q = F.lit(f_low) + u * F.lit(f_high - f_low)
         return F.lit(self.loc) + F.lit(self.scale) * self._standard_quantile(q)
+
+    def quantile_before(self, u: Column, end: Column) -> Column:
+        """Time of day for a uniform draw in (0, 1), given that it is before ``end``."""
+        if self.kind != "weibull_min":
+            raise ValueError(f"no distribution function as a column for {self.kind}")
+        z = F.greatest((end - self.loc) / self.scale, F.lit(0.0))
+        low = F.lit(self.mass[0])
+        q = low + u * (-F.expm1(-F.pow(z, F.lit(self.shape[0]))) - low)
+        return F.lit(self.loc) + F.lit(self.scale) * self._standard_quantile(q)
+
+
+def between_knots(knots: list[float], u: Column) -> Column:
+    """Value at quantile ``u`` in (0, 1) of a table of KNOTS + 1 equal steps."""
+    text = ",".join(repr(v) for v in knots)
+    table = F.split(F.lit(text), ",").cast("array<double>")  # folded to one literal
+    at = u * float(KNOTS)
+    i = F.floor(at).cast("int")
+    left, right = F.element_at(table, i + 1), F.element_at(table, i + 2)
+    return left + (right - left) * (at - i)
+
+
+def later_knots(first: Law, second: Law) -> list[float]:
+    """Quantile knots of ``second`` given that an independent draw of ``first`` is earlier.
+
+    Both have closed distribution functions. The density is that of ``second`` times the
+    chance that ``first`` came before.
+    """
+    edges = np.linspace(second.low, second.high, 20_001)
+    middle = (edges[:-1] + edges[1:]) / 2.0
+    whole = np.array([second.cdf((t - second.loc) / second.scale) for t in edges])
+    low, high = first.mass
+    before = np.array([(first.cdf((t - first.loc) / first.scale) - low) / (high - low) for t in middle])
+    mass = np.concatenate([[0.0], np.cumsum(np.diff(whole) * np.clip(before, 0.0, 1.0))])
+    at = np.interp(np.linspace(0.0, 1.0, KNOTS + 1), mass / mass[-1], edges)
+    return [float(f"{t:.12g}") for t in at]

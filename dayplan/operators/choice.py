@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -208,6 +209,51 @@ def draw_choice(
 # ---------------------------------------------------------------- capacity of one
 
 
+def _still_possible(
+    waiting: DataFrame,
+    free: DataFrame,
+    chooser: str,
+    alternative: str,
+    terms: Terms,
+    interactions: DataFrame | None,
+    on: list[str] | None,
+) -> tuple[DataFrame, DataFrame]:
+    """Choosers and alternative keys that still have a known utility with someone.
+
+    A column or factor that one side carries is judged on that side; a factor over columns
+    of both is unknown only where one of its columns is. What both meet in, the interaction
+    row, is judged by the distinct keys of the sides, never by single pairs.
+    """
+
+    def known(df: DataFrame) -> DataFrame:
+        have = {c.lower() for c in df.columns}
+        for factor in sorted({f for _, factors in terms for f in factors}):
+            names = {n.lower() for n in re.findall(r"[A-Za-z_]\w*(?!\w*\s*\()", factor)}
+            for name in sorted(names & have):
+                df = df.where(F.col(name).isNotNull())
+            if names <= have:
+                df = df.where(F.expr(factor).isNotNull())
+        return df
+
+    waiting, free = known(waiting), known(free)
+    if interactions is None:
+        if free.isEmpty() or waiting.isEmpty():
+            return waiting.limit(0), free.select(alternative)
+        return waiting, free.select(alternative)
+    ours = [c for c in on if c in waiting.columns]
+    theirs = [c for c in on if c not in ours]
+    met = known(interactions)
+    if ours:
+        met = met.join(waiting.select(*ours).distinct(), ours, "left_semi")
+    if theirs:
+        met = met.join(free.select(*theirs).distinct(), theirs, "left_semi")
+    if ours:
+        waiting = waiting.join(met.select(*ours).distinct(), ours, "left_semi")
+    if theirs:
+        free = free.join(met.select(*theirs).distinct(), theirs, "left_semi")
+    return waiting, free.select(alternative)
+
+
 def capacity_choice(
     choosers: DataFrame,
     alts: DataFrame,
@@ -223,8 +269,10 @@ def capacity_choice(
     """Assign each chooser an alternative that nobody else holds.
 
     Each round samples k free alternatives per unplaced chooser, draws one, and settles
-    clashes by a hashed lottery. Rounds go on until choosers or alternatives run out or a
-    round places nobody; ``rounds`` stops earlier. Returns (chooser, alternative, round).
+    clashes by a hashed lottery. Rounds go on until choosers or alternatives run out;
+    ``rounds`` stops earlier. After a round that places nobody, choosers and alternatives
+    without any utility left between them go, so the loop ends only when nobody who waits
+    could take anything that is free. Returns (chooser, alternative, round).
 
     The attributes are stored once. After the first round, which holds nearly all choosers,
     only the keys of the free alternatives are numbered again.
@@ -254,16 +302,21 @@ def capacity_choice(
             F.col(f"w.{chooser}").alias(chooser), alternative, F.lit(number).alias("round")
         )
         winners, won = scratch.write_counting(winners, f"winners-{number}")
-        if won == 0:
-            break
-        placed.append(winners)
+        if won:
+            placed.append(winners)
         if number == rounds:
             break
-        left = complement(waiting, winners, chooser).repartition(task_count(spark))
-        waiting, remaining = scratch.write_counting(left, f"waiting-{number}")
+        if won:
+            waiting = complement(waiting, winners, chooser)
+            free = complement(free, winners, alternative)
+        else:
+            waiting, free = _still_possible(
+                waiting, attributes.join(free, alternative), chooser, alternative, terms, interactions, on
+            )
+        waiting, remaining = scratch.write_counting(waiting.repartition(task_count(spark)), f"waiting-{number}")
         if remaining == 0:
             break
-        indexed, size = dense_index(complement(free, winners, alternative), alternative)
+        indexed, size = dense_index(free, alternative)
         free = indexed.select(alternative)
     if not placed:
         schema = T.StructType([choosers.schema[chooser], alts.schema[alternative]])

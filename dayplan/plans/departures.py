@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayplan.functions.draws import digest, draw, open_uniform
+from dayplan.functions.laws import between_knots, later_knots
 from dayplan.functions.nulls import wrap_day
 from dayplan.operators.order_stats import order_statistics
 from dayplan.specs.departures import (
@@ -16,29 +17,33 @@ from dayplan.specs.departures import (
     WORK_TO_HOME,
 )
 
-REDRAWS = 12
+LATER_22 = later_knots(HOME_TO_WORK[22], WORK_TO_HOME[22])
 
 
-def early_24(persons: DataFrame, salt: str = "tod24") -> tuple[DataFrame, int]:
-    """Persons with code 24 and a flag ``early`` that holds for exactly round(n 241/377).
+def early_24_test(persons: DataFrame, salt: str = "tod24") -> tuple[Column, int]:
+    """A test on ``person_id`` that holds for exactly round(n 241/377) of the n persons with code 24.
 
-    The flag goes to the smallest hashed draws. Their threshold is an exact order statistic
-    found by histogram passes; equal draws at the threshold are split by person id the same
-    way, so no global sort or single-task ranking is needed.
+    It takes the smallest hashed draws. Their threshold is an exact order statistic found by
+    histogram passes; equal draws at the threshold are split by person id the same way, so
+    no global sort or single-task ranking is needed.
     """
-    lot = persons.where(F.col("TOD") == 24).select(
-        "person_id", draw(digest(salt, "person_id")).alias("lot")
-    )
+    drawn = draw(digest(salt, "person_id"))
+    lot = persons.where(F.col("TOD") == 24).select("person_id", drawn.alias("lot"))
     n = lot.count()
     take = round(n * EARLY_24_SHARE[0] / EARLY_24_SHARE[1])
     if take == 0:
-        return lot.select("person_id", F.lit(False).alias("early")), n
+        return F.lit(False), n
     cut = int(order_statistics(lot, {"lot": [take - 1]})["lot"][0])
     below = lot.where(F.col("lot") < cut).count()
     tied = lot.where(F.col("lot") == cut)
     last_id = int(order_statistics(tied, {"person_id": [take - below - 1]})["person_id"][0])
-    early = (F.col("lot") < cut) | ((F.col("lot") == cut) & (F.col("person_id") <= last_id))
-    return lot.select("person_id", early.alias("early")), n
+    return (drawn < cut) | ((drawn == cut) & (F.col("person_id") <= last_id)), n
+
+
+def early_24(persons: DataFrame, salt: str = "tod24") -> tuple[DataFrame, int]:
+    """Persons with code 24 and the flag ``early`` of ``early_24_test``; their number."""
+    test, n = early_24_test(persons, salt)
+    return persons.where(F.col("TOD") == 24).select("person_id", test.alias("early")), n
 
 
 def _by_code(laws: dict, u: Column) -> Column:
@@ -49,31 +54,15 @@ def _by_code(laws: dict, u: Column) -> Column:
     return out
 
 
-def ordered_22(hw: Column, wh: Column, salt: str) -> Column:
-    """Struct (hw, wh) with home left before work for code 22.
+def ordered_22(salt: str) -> Column:
+    """Struct (hw, wh) drawn for code 22 given that home is left before work.
 
-    While the pair is out of order, work and then home are drawn again from their own
-    windows. A pair still out of order after all redraws is swapped.
+    Work is left by its law weighted with the chance that home was left earlier; then home
+    is left by its own law up to that time. One draw each, so nothing is drawn again.
     """
-
-    def redraw(pair: Column, i: Column) -> Column:
-        d = digest(f"{salt}|again", F.col("person_id"), i)
-        u_wh = (draw(d, 0) + F.lit(0.5)) / F.lit(4294967296.0)
-        u_hw = (draw(d, 1) + F.lit(0.5)) / F.lit(4294967296.0)
-        bad = pair["hw"] >= pair["wh"]
-        new_wh = F.when(bad, WORK_TO_HOME[22].quantile(u_wh)).otherwise(pair["wh"])
-        still = pair["hw"] >= new_wh
-        new_hw = F.when(still, HOME_TO_WORK[22].quantile(u_hw)).otherwise(pair["hw"])
-        return F.struct(new_hw.alias("hw"), new_wh.alias("wh"))
-
-    def finish(pair: Column) -> Column:
-        return F.struct(
-            F.least(pair["hw"], pair["wh"]).alias("hw"),
-            F.greatest(pair["hw"], pair["wh"]).alias("wh"),
-        )
-
-    start = F.struct(hw.alias("hw"), wh.alias("wh"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(REDRAWS)), start, redraw, finish)
+    wh = between_knots(LATER_22, open_uniform(f"{salt}|again", "person_id", slot=0))
+    hw = HOME_TO_WORK[22].quantile_before(open_uniform(f"{salt}|again", "person_id", slot=1), wh)
+    return F.struct(hw.alias("hw"), wh.alias("wh"))
 
 
 def departure_times(persons: DataFrame, salt: str = "depart") -> DataFrame:
@@ -82,8 +71,8 @@ def departure_times(persons: DataFrame, salt: str = "depart") -> DataFrame:
     ``persons`` should be a stored table; it is scanned a few times for code 24.
     """
     coded = persons.where(F.col("TOD").isin(*WORK_TO_HOME)).select("person_id", "TOD")
-    share, _ = early_24(coded, f"{salt}|24")
-    coded = coded.join(share, "person_id", "left")
+    early, _ = early_24_test(coded, f"{salt}|24")
+    coded = coded.withColumn("early", F.when(F.col("TOD") == 24, early))
     # both draws are columns of their own, as the quantile formulas use them many times
     coded = coded.withColumns(
         {
@@ -99,11 +88,9 @@ def departure_times(persons: DataFrame, salt: str = "depart") -> DataFrame:
     )
     wh = _by_code(WORK_TO_HOME, F.col("_u_wh"))
     drawn = coded.select("person_id", "TOD", hw.alias("hw"), wh.alias("wh"))
-    # only the few pairs in the wrong order enter the redraw expression
+    # only the few pairs in the wrong order are drawn again
     wrong = (F.col("TOD") == 22) & (F.col("hw") >= F.col("wh"))
-    fixed = drawn.withColumn(
-        "pair", F.when(wrong, ordered_22(F.col("hw"), F.col("wh"), salt))
-    )
+    fixed = drawn.withColumn("pair", F.when(wrong, ordered_22(salt)))
     return fixed.select(
         "person_id",
         "TOD",
