@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayplan.llm import chosen_path, deobfuscate, disclosure, factorisation, fair_mix, labels, neighbours, separators, simple8b, suffix, warc
+from dayplan.llm import (
+    chosen_path, deobfuscate, disclosure, factorisation, fair_mix, labels, neighbours, prefix_trie, separators, simple8b, suffix, warc,
+)
 from dayplan.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +193,51 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}")
           for k, name in enumerate(disclosure.KINDS)],
         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.array_sort(F.concat(base, terms))).alias("spans"))
+
+
+@query("op12_prefix_trie", r"""
+WITH o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+           PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(
+           [[ascii(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0] FOR x IN string_split(conv_id::VARCHAR, '')])),
+           lambda r, x: xor(xor(r, x) >> 1, 3988292384 * (xor(r, x) & 1))), 4294967295::BIGINT) % 4 AS h
+  FROM o
+), t AS (
+  SELECT c.conv_id, 0 AS part, o.p, o.role, o.text FROM c JOIN o ON o.conv_id = c.base AND o.p < c.h
+  UNION ALL
+  SELECT c.conv_id, 1 AS part, o.p, o.role, o.text FROM c JOIN o ON o.conv_id = c.conv_id AND o.p >= c.h
+), s AS (
+  SELECT conv_id, row_number() OVER w AS depth, role, text,
+         string_agg(length(role)::VARCHAR || ':' || length(text)::VARCHAR || ':' || role || text, '') OVER w AS path
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY part, p)
+), f AS (
+  SELECT conv_id, depth, sha256(path) AS name, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))::BIGINT AS words,
+         max(depth) OVER (PARTITION BY conv_id) AS size FROM s
+  UNION ALL
+  SELECT conv_id, 0, '', 0, coalesce((SELECT max(depth) FROM s WHERE s.conv_id = c.conv_id), 0) FROM c
+), n AS (
+  SELECT depth, name, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(words) AS saved,
+         string_agg(CASE WHEN size = depth THEN conv_id::VARCHAR END, ',' ORDER BY conv_id) AS ends,
+         max(size) = depth AS leaf
+  FROM f GROUP BY depth, name
+), up AS (
+  SELECT n.depth, n.name, a.depth AS above, a.name AS above_name, n.saved, n.leaf
+  FROM n JOIN f AS a ON a.conv_id = n.conv_id AND a.depth <= n.depth
+), g AS (
+  SELECT above AS depth, above_name AS name, sum(saved)::BIGINT AS saved_tokens, sum(leaf::INT)::BIGINT AS n_leaves,
+         count(*) FILTER (WHERE depth = above + 1) AS n_children
+  FROM up GROUP BY above, above_name
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, q.conv_id AS parent_conv_id, n.n_convs, g.n_children, g.n_leaves, g.saved_tokens,
+       sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM n JOIN g USING (depth, name)
+LEFT JOIN up ON up.depth = n.depth AND up.name = n.name AND up.above = n.depth - 1
+LEFT JOIN n AS q ON q.depth = up.above AND q.name = up.above_name
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shared beginnings of rebuilt conversations, one row per node of their trie."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
