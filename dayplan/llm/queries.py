@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayplan.llm import (
-    chosen_path, deobfuscate, disclosure, factorisation, fair_mix, labels, neighbours, prefix_trie, separators, simple8b, suffix, warc,
+    chosen_path, deobfuscate, disclosure, factorisation, fair_mix, hard_negatives, labels, neighbours, prefix_trie, separators, simple8b,
+    suffix, warc,
 )
 from dayplan.llm.shared import table
 
@@ -241,3 +242,30 @@ LEFT JOIN n AS q ON q.depth = up.above AND q.name = up.above_name
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shared beginnings of rebuilt conversations, one row per node of their trie."""
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op11_threshold_negatives", """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v AS a JOIN v AS b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INT AS rank,
+       s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+QUALIFY rank <= 10
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near rows of other labels for every hundredth vector and its nearest rows of the same label."""
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
