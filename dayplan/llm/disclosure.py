@@ -81,7 +81,7 @@ def entities(text: str) -> list[tuple[int, int, int, str]]:
             digits = _NO_DIGIT.sub("", m.group())
             if 9 <= len(digits) <= 15:
                 out.append((m.start(), m.end(), 3, digits))
-    return sorted(out)
+    return sorted(out, key=lambda s: (s[0], s[2], s[1]))
 
 
 def _hash(kind: int, value: str) -> int:

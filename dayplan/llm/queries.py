@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayplan.llm import (
-    chosen_path, deobfuscate, disclosure, factorisation, fair_mix, hard_negatives, labels, neighbours, prefix_trie, separators, simple8b,
-    suffix, warc,
+    chosen_path, deobfuscate, disclosure, factorisation, fair_mix, hard_negatives, labels, neighbours, prefix_trie, secret_scan,
+    separators, simple8b, suffix, warc,
 )
 from dayplan.llm.shared import table
 
@@ -174,26 +174,40 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(deobfuscate.score_toxicity(docs, model), held_out)
 
 
+def _spans(spans, kinds: tuple[str, ...]) -> Column:
+    """kind:start:end of each of ``spans``, comma-joined."""
+    names = F.array(*[F.lit(k) for k in kinds])
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"], s["end"])), ",")
+
+
+def _number(spans, kind: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
 @query("op7_disclosure_sanitisation")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document and the terms that give it away."""
     found = disclosure.find_disclosures(table(spark, sf_dir, "documents"))
-    kind = F.array(*[F.lit(k) for k in disclosure.KINDS])
-    base = F.transform("found", lambda s: F.struct(
-        s["start"].alias("start"), s["kind"].alias("kind"),
-        F.concat_ws(":", F.element_at(kind, s["kind"] + 1), s["start"], s["end"]).alias("name")))
-    terms = F.transform("terms", lambda s: F.struct(
-        s["start"].alias("start"), F.lit(len(disclosure.KINDS)).alias("kind"),
-        F.concat_ws(":", F.lit("term"), s["start"], s["end"]).alias("name")))
+    kinds = (*disclosure.KINDS, "term")
+
+    def ordered(spans: str, kind: Column | None = None) -> Column:
+        return F.transform(spans, lambda s: F.struct(
+            s["start"].alias("start"), (s["kind"] if kind is None else kind).alias("kind"), s["end"].alias("end")))
+
+    every = F.array_sort(F.concat(ordered("found"), ordered("terms", F.lit(len(disclosure.KINDS)))))
+    return found.select(
+        "doc_id", *[_number("found", k).alias(f"n_{name}") for k, name in enumerate(disclosure.KINDS)],
+        F.sha2(_spans("found", kinds), 256).alias("base_sha256"), _spans(every, kinds).alias("spans"))
 
-    def joined(spans):
-        return F.array_join(F.transform(spans, lambda s: s["name"]), ",")
 
+@query("op13_secret_worklist")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, in its text and in the layers wrapped in it."""
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("found", lambda s: s["path"] == "")
     return found.select(
-        "doc_id",
-        *[F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}")
-          for k, name in enumerate(disclosure.KINDS)],
-        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.array_sort(F.concat(base, terms))).alias("spans"))
+        "doc_id", *[_number(base, k).alias(f"n_{name}") for k, name in enumerate(secret_scan.KINDS)],
+        F.sha2(_spans(base, secret_scan.KINDS), 256).alias("base_sha256"), _spans("found", secret_scan.KINDS).alias("spans"))
 
 
 @query("op12_prefix_trie", r"""
