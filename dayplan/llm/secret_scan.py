@@ -47,7 +47,7 @@ _ESCAPE = re.compile(rf"(?:{_BYTE_ESCAPE})+|\\u\{{[0-9A-Fa-f]{{1,6}}\}}|(?:\\u[0
 _ONE_BYTE = re.compile(_BYTE_ESCAPE)
 # lines of equal length with a shorter last one, or one run of 16 characters or more
 _BASE64 = re.compile(
-    r"(?<![A-Za-z0-9+/_-])(?:(?:[A-Za-z0-9+/]{60,76}\r?\n)++[A-Za-z0-9+/]{1,76}+={0,2}|[A-Za-z0-9+/_-]{16,}+={0,2})")
+    r"(?<![A-Za-z0-9+/_-])(?:(?:[A-Za-z0-9+/]{60,76}\r?\n)++(?:[A-Za-z0-9+/]{1,76}+={0,2})?|[A-Za-z0-9+/_-]{16,}+={0,2})")
 _CONTROL = re.compile("[\x00-\x08\x0e-\x1f\x7f�]")
 
 
