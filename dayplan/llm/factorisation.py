@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +23,7 @@ BUCKETS = 1 << 16
 FACTORS = 8
 BINS = 10
 STATISTICS = 14
+SAMPLE_WORDS = 1 << 22  # different words per text, summed over the labelled texts that a model is fitted on, at most
 
 
 def word_features(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -140,10 +140,12 @@ def _numbers(batch: pa.RecordBatch, words: Words, different: np.ndarray, metadat
 
 def fit_quality(
     docs: DataFrame, labels: DataFrame, label: str = "quality", learn: Column | None = None, doc_id: str = "doc_id",
-    text: str = "text", metadata: list[str] | None = None, rows: int = lab.SAMPLE_ROWS,
+    text: str = "text", metadata: list[str] | None = None, rows: int = lab.SAMPLE_ROWS, most_words: int = SAMPLE_WORDS,
 ) -> QualityModel:
     """Fit on the features of at most ``rows`` labelled documents that ``learn`` allows.
 
+    They are taken in order of a hash while their different words add up to ``most_words`` at most,
+    so what reaches the driver has a bound in bytes however long the texts are: two bytes a word.
     ``metadata`` are numeric columns of ``docs``; null is a bin of its own. Without labels of both
     kinds every text scores the share of label 1 (0.5 if there is none).
     """
@@ -155,36 +157,52 @@ def fit_quality(
             for batch in pieces(whole, "text"):
                 words = Words(batch.column(batch.schema.get_field_index("text")))
                 row, bucket, different = word_features(words)
-                lists = np.split(bucket.astype(np.int32), np.searchsorted(row, np.arange(1, batch.num_rows)))
-                numbers = _numbers(batch, words, different, metadata)
+                edges = np.searchsorted(row, np.arange(batch.num_rows + 1))
+                packed = bucket.astype("<u2").tobytes()
+                numbers = _numbers(batch, words, different, metadata).astype("<f8")
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(batch.schema.get_field_index(c)) for c in ("key", "label")]
-                    + [pa.array(list(lists), pa.list_(pa.int32())), pa.array(list(numbers), pa.list_(pa.float64()))],
-                    names=["key", "label", "buckets", "numbers"])
+                    [*[batch.column(batch.schema.get_field_index(c)) for c in ("key", "label")], pa.array(np.diff(edges)),
+                     pa.array([packed[2 * a : 2 * b] for a, b in zip(edges[:-1], edges[1:])], pa.binary()),
+                     pa.array([n.tobytes() for n in numbers], pa.binary())],
+                    names=["key", "label", "size", "buckets", "numbers"])
 
-    found = (
+    stored = Scratch(docs.sparkSession, "quality").write(
         chosen.withColumn("key", F.xxhash64("doc_id", "text"))
-        .mapInArrow(features, "key bigint, label int, buckets array<int>, numbers array<double>")
-        .toPandas().sort_values("key", ignore_index=True)  # at most ``rows`` short rows
-    )
-    y = found["label"].to_numpy(np.float64)
+        .mapInArrow(features, "key bigint, label int, size bigint, buckets binary, numbers binary"), "features")
+    sizes = stored.select("key", "size").toPandas().sort_values("key", ignore_index=True)  # at most ``rows``
+    fits = sizes["key"][sizes["size"].cumsum() <= most_words]
+    found = stored.where(F.col("key") <= int(fits.iloc[-1])) if len(fits) else stored.limit(0)
+    found = found.toArrow().combine_chunks().sort_by([("key", "ascending"), ("size", "ascending")])
+    y = found["label"].to_numpy().astype(np.float64)
     size = BUCKETS + (STATISTICS + len(metadata)) * (BINS + 1)
     if not len(y) or y.min() == y.max():
         share = np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3)
         edges = [np.zeros(0)] * (STATISTICS + len(metadata))
         return QualityModel(edges, float(np.log(share / (1 - share))), np.zeros(size), np.zeros((size, FACTORS)))
-    numbers = np.stack(found["numbers"].tolist()).astype(np.float64)
+    numbers = np.frombuffer(b"".join(found["numbers"].to_pylist()), "<f8").reshape(len(y), -1)
     edges = [np.unique(np.quantile(c[~np.isnan(c)], np.arange(1, BINS) / BINS)) if (~np.isnan(c)).any() else np.zeros(0)
              for c in numbers.T]
-    model = QualityModel(edges, 0.0, np.zeros(0), np.zeros((0, 0)))
-    counts = found["buckets"].map(len).to_numpy()
-    row = np.repeat(np.arange(len(found)), counts)
-    row, feature, value = vectors(row, np.concatenate(found["buckets"].tolist()).astype(np.int64), model.bins(numbers))
-    order = np.argsort(row, kind="stable")
-    bias, w, v = train(row[order], feature[order], value[order], y, size)
+    bins = QualityModel(edges, 0.0, np.zeros(0), np.zeros((0, 0))).bins(numbers)
+    bias, w, v = train(*_laid_out(found["size"].to_numpy(), found["buckets"], bins), y, size)
     return QualityModel(edges, bias, w.astype(np.float32), v.astype(np.float32))
 
 
+def _laid_out(sizes: np.ndarray, buckets: pa.ChunkedArray, bins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``vectors`` gives, row after row and in small types: each row's words, then its numbers."""
+    rows, extra = bins.shape
+    row = np.repeat(np.arange(rows, dtype=np.int32), sizes + extra)
+    word = np.ones(len(row), bool)
+    ends = np.cumsum(sizes + extra)
+    for k in range(1, extra + 1):
+        word[ends - k] = False
+    feature = np.empty(len(row), np.int32)
+    feature[~word] = bins.ravel()
+    feature[word] = np.frombuffer(b"".join(buckets.to_pylist()), "<u2")
+    value = np.full(len(row), 0.5, np.float32)
+    value[word] = np.repeat(1 / np.sqrt(np.maximum(sizes, 1)), sizes)
+    return row, feature, value
+
+
 def score_quality(
     docs: DataFrame, model: QualityModel, doc_id: str = "doc_id", text: str = "text", metadata: list[str] | None = None,
 ) -> DataFrame:
