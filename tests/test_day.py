@@ -109,11 +109,20 @@ def test_early_share_of_code_24_is_exact(spark, times):
 
 
 def test_pairs_out_of_order_are_drawn_again(spark):
-    df = spark.range(500).select(F.col("id").alias("person_id"))
-    pair = ordered_22(F.lit(15.4), F.lit(9.1), "x")
-    rows = df.select(pair.alias("p")).select("p.hw", "p.wh").toPandas()
+    df = spark.range(20_000).select(F.col("id").alias("person_id"))
+    rows = df.select(ordered_22("x").alias("p")).select("p.hw", "p.wh").toPandas()
     assert (rows["hw"] < rows["wh"]).all()
-    assert rows["hw"].between(9, 15.5).all() and rows["wh"].between(9, 15.5).all()
+    home, work = HOME_TO_WORK[22], WORK_TO_HOME[22]
+    assert rows["hw"].between(home.low, home.high).all() and rows["wh"].between(work.low, work.high).all()
+    # the same law as drawing both on their own until they are in order
+    free = df.select(home.quantile(open_uniform("free", "person_id", slot=0)).alias("hw"),
+                     work.quantile(open_uniform("free", "person_id", slot=1)).alias("wh")).where("hw < wh").toPandas()
+    assert len(free) > 1000
+    for column in ("hw", "wh"):
+        a, b = np.sort(rows[column].to_numpy()), np.sort(free[column].to_numpy())
+        every = np.concatenate([a, b])
+        gap = np.abs(np.searchsorted(a, every, "right") / len(a) - np.searchsorted(b, every, "right") / len(b)).max()
+        assert gap < 1.95 * math.sqrt(1 / len(a) + 1 / len(b)), column  # one in a thousand by chance
 
 
 def test_plans_of_every_order(spark):
@@ -239,7 +248,12 @@ def test_run_places_every_worker_once(day, spark):
     assert persons.where("TOD is null or HW_ST is null or WH_ST is null").count() == 0
     assert out["persons"].count() == tables["persons"].count()
     assert out["plans"].count() == 5 * n
-    assert out["households"].where("cars_alt is not null").count() > 100
+    # every household with a unit, building and parcel whose block has indicators, and no other
+    block = tables["units"].select("unit_id", "building_id").join(tables["buildings"].select("building_id", "parcel_id"), "building_id").join(
+        tables["parcels"].select("parcel_id", "block_id"), "parcel_id").join(
+        tables["access_indicators"].select("block_id").distinct(), "block_id").select("unit_id")
+    able = {r[0] for r in tables["households"].join(block, "unit_id").select("household_id").collect()}
+    assert {r[0] for r in out["households"].where("cars_alt is not null").select("household_id").collect()} == able and able
     assert {r[0] for r in out["households"].select("cars_alt").distinct().collect()} <= {None, 0, 1, 2, 3}
     # afternoon returns of morning commuters have no period, hence no mode
     modes = out["persons_CHTS_format"]
