@@ -6,8 +6,11 @@ once. That gives each test suffix's longest verbatim match and every place where
 occurs. A suffix that holds a word no test text has within its first words cannot match, so only
 runs of known words that are long enough enter the array.
 
+Equal test suffixes are searched once, and equal windows mark their places once, so repeats on both
+sides never multiply.
+
 Documents never move: a shard is what a task has read. Test texts lie in the shared folder in
-blocks of bounded size; a task holds one block at a time.
+blocks of bounded size; a task holds a few at a time.
 
 Words are runs of digits, letters (A-Z lower-cased) and non-ASCII characters; words are compared
 by 64-bit hashes. A null or wordless text has no words: as a document it is clean, as a test text
@@ -31,21 +34,27 @@ from dayplan.llm.shared import Scratch, Words, ddl, pieces, struct_fields
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20  # text bytes of a block of test texts
+HELD_BLOCKS = 4  # blocks that a worker keeps; more are read again for every shard
+SHARD_BYTES = 4 << 20  # text bytes of a shard
 
 
 @dataclass
 class TestBlock:
+    """Test texts as word numbers, and their different suffixes in order."""
+
     items: list[str]
     vocabulary: np.ndarray  # sorted word hashes
     tokens: np.ndarray  # word numbers of all items, -1 behind each
-    start: np.ndarray  # every suffix
+    start: np.ndarray  # a place of every different suffix, in order of their words
     left: np.ndarray  # words from there to the item's end
-    item: np.ndarray
-    window: np.ndarray  # window length of the suffix's item
+    least: np.ndarray  # the least item that has the suffix
+    suffix: np.ndarray  # different windows: the number of the suffix that starts with it,
+    size: np.ndarray  # its words,
+    having: list[np.ndarray]  # and the items it stands for there
 
     @property
     def shortest(self) -> int:
-        return int(self.window.min()) if len(self.window) else 0
+        return int(self.size.min()) if len(self.size) else 0
 
 
 def encode_tests(items: list[str], texts: pa.Array, window: int = WINDOW) -> TestBlock:
@@ -55,9 +64,31 @@ def encode_tests(items: list[str], texts: pa.Array, window: int = WINDOW) -> Tes
     place = np.arange(len(words)) + words.row  # one -1 behind each item
     tokens = np.full(len(words) + len(items), -1, np.int64)
     tokens[place] = number
+    row = np.full(len(tokens), -1, np.int64)
+    row[place] = words.row
     first = np.cumsum(counts) - counts
-    left = counts[words.row] - (np.arange(len(words)) - first[words.row])
-    return TestBlock(items, vocabulary, tokens, place, left, words.row, np.minimum(window, counts)[words.row])
+    left = np.zeros(len(tokens), np.int64)
+    left[place] = counts[words.row] - (np.arange(len(words)) - first[words.row])
+    order = suffix_order(tokens, int(left.max(initial=0)) + 1)
+    same = np.zeros(len(order), bool)
+    if len(order) > 1:
+        equal = np.flatnonzero(left[order[1:]] == left[order[:-1]])
+        _, agree = _compare(tokens, order[equal], tokens, order[equal + 1], left[order[equal]])
+        same[equal + 1] = agree == left[order[equal]]
+    group = np.cumsum(~same) - 1
+    head = order[~same]
+    # items in order of their ids as text, so the least of a suffix is its least item
+    rank = np.argsort(np.argsort(np.array(items, object), kind="stable")) if items else np.zeros(0, np.int64)
+    best = np.full(len(head), len(items), np.int64)
+    np.minimum.at(best, group, rank[row[order]])
+    item_of = np.argsort(rank)
+    size = np.minimum(window, counts)[row[order]]
+    fits = np.flatnonzero(left[order] >= size)
+    key = np.unique(np.stack([group[fits], size[fits], row[order][fits]], 1), axis=0)
+    edge = np.flatnonzero(np.concatenate([[True], (key[1:, :2] != key[:-1, :2]).any(1), [True]])) if len(key) else np.zeros(1, np.int64)
+    return TestBlock(
+        items, vocabulary, tokens, head, left[head], item_of[best] if len(head) else best,
+        key[edge[:-1], 0], key[edge[:-1], 1], [key[i:j, 2] for i, j in zip(edge[:-1], edge[1:])])
 
 
 def suffix_order(tokens: np.ndarray, depth: int) -> np.ndarray:
@@ -146,40 +177,86 @@ def search(words: Words, block: TestBlock, out: Hits) -> None:
     order = suffix_order(tokens, int(block.left.max()))
     # the longest match of a suffix is with one of its two neighbours
     near = _bound(tokens, order, block.tokens, block.start, block.left, upper=False)
-    longest = np.zeros(len(near), np.int64)
-    for step in (-1, 0):
-        there = (near + step >= 0) & (near + step < len(order))
-        _, agree = _compare(tokens, order[near[there] + step], block.tokens, block.start[there], block.left[there])
-        longest[there] = np.maximum(longest[there], agree)
-    test = np.flatnonzero((block.left >= block.window) & (longest >= block.window))
-    if not len(test):
+    longest = _agreement(tokens, order, block, near)
+    fits = np.flatnonzero(longest[block.suffix] >= block.size)
+    if not len(fits):
         return
-    low = _bound(tokens, order, block.tokens, block.start[test], block.window[test], upper=False)
-    high = _bound(tokens, order, block.tokens, block.start[test], block.window[test], upper=True)
-    many = high - low
-    which = np.repeat(np.arange(len(test)), many)
-    spot = order[np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(low, many)]
-    suffix = test[which]
-    _, agree = _compare(tokens, spot, block.tokens, block.start[suffix], block.left[suffix])
-    first = word[spot]
+    start, size = block.start[block.suffix[fits]], block.size[fits]
+    low = _bound(tokens, order, block.tokens, start, size, upper=False)
+    high = _bound(tokens, order, block.tokens, start, size, upper=True)
+    # equal windows stand for the same places: every place is looked at once for each window size
+    ranges, which = np.unique(np.stack([low, high, size], 1), axis=0, return_inverse=True)
+    which = which.ravel()
+    sets: dict[bytes, int] = {}
+    having = []
+    set_of = np.zeros(len(ranges), np.int64)
+    by = np.argsort(which, kind="stable")
+    for r, members in enumerate(np.split(fits[by], np.flatnonzero(np.diff(which[by])) + 1)):
+        items = np.unique(np.concatenate([block.having[k] for k in members]))
+        if items.tobytes() not in sets:
+            sets[items.tobytes()] = len(having)
+            having.append([block.items[i] for i in items])
+        set_of[r] = sets[items.tobytes()]
+    many = ranges[:, 1] - ranges[:, 0]
+    r = np.repeat(np.arange(len(ranges)), many)
+    spot = order[np.arange(len(r)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(ranges[:, 0], many)]
+    first, size = word[spot], ranges[r, 2]
     delta = np.zeros(len(words) + 1, np.int64)
     np.add.at(delta, first, 1)
-    np.add.at(delta, first + block.window[suffix], -1)
+    np.add.at(delta, first + size, -1)
     out.hit |= np.cumsum(delta[:-1]) > 0
+    for pair in np.unique(words.row[first] * len(having) + set_of[r]):
+        out.items[pair // len(having)].update(having[pair % len(having)])
+    # per place the longest window, and the longest match if that is at least as long as any window
+    by = np.lexsort((size, spot))
+    last = np.flatnonzero(np.append(spot[by][1:] != spot[by][:-1], True))
+    spot, size, r = spot[by][last], size[by][last], r[by][last]
+    words_, item = _longest_from(tokens, spot, block)
+    window = int(block.size.max())
+    short = words_ < window
+    words_[short] = size[short]
+    first = word[spot]
     row = words.row[first]
-    np.maximum.at(out.longest, row, agree)
-    for pair in np.unique(row * len(block.items) + block.item[suffix]):
-        out.items[pair // len(block.items)].add(block.items[pair % len(block.items)])
-    # a match is reported where it cannot be extended to the left
-    before = (first > 0) & (words.row[first - 1] == row) & (spot > 0) & (block.start[suffix] > 0)
-    extends = before & (tokens[np.maximum(spot - 1, 0)] >= 0) & (
-        tokens[np.maximum(spot - 1, 0)] == block.tokens[np.maximum(block.start[suffix] - 1, 0)])
+    np.maximum.at(out.longest, row, words_)
+    # a match is reported where the one before does not hold it
+    inside = np.zeros(len(spot), bool)
+    inside[1:] = (spot[1:] == spot[:-1] + 1) & (words_[:-1] > words_[1:])
     begin = np.searchsorted(words.row, np.arange(words.rows))
-    for i in np.flatnonzero(~extends):
-        out.matches[row[i]].append((int(first[i] - begin[row[i]]), int(agree[i]), block.items[block.item[suffix[i]]]))
+    for i in np.flatnonzero(~inside):
+        name = having[set_of[r[i]]][0] if short[i] else block.items[item[i]]
+        out.matches[row[i]].append((int(first[i] - begin[row[i]]), int(words_[i]), name))
+
+
+def _agreement(tokens: np.ndarray, order: np.ndarray, block: TestBlock, near: np.ndarray) -> np.ndarray:
+    """Words that each test suffix shares with the closer of its neighbours in the shard's suffix array."""
+    longest = np.zeros(len(near), np.int64)
+    for step in (-1, 0):
+        there = (near + step >= 0) & (near + step < len(order))
+        _, agree = _compare(tokens, order[near[there] + step], block.tokens, block.start[there], block.left[there])
+        longest[there] = np.maximum(longest[there], agree)
+    return longest
+
+
+def _longest_from(tokens: np.ndarray, spot: np.ndarray, block: TestBlock) -> tuple[np.ndarray, np.ndarray]:
+    """Words of the longest match that starts at each place, and the item it is in."""
+    low, high = np.zeros(len(spot), np.int64), np.full(len(spot), len(block.start), np.int64)
+    while len(live := np.flatnonzero(low < high)):
+        middle = (low[live] + high[live]) // 2
+        sign, _ = _compare(tokens, spot[live], block.tokens, block.start[middle], block.left[middle])
+        up = sign >= 0  # a suffix that the place starts with stands before it
+        low[live[up]] = middle[up] + 1
+        high[live[~up]] = middle[~up]
+    best, item = np.zeros(len(spot), np.int64), np.zeros(len(spot), np.int64)
+    for step in (-1, 0):
+        there = np.flatnonzero((low + step >= 0) & (low + step < len(block.start)))
+        at = low[there] + step
+        _, agree = _compare(tokens, spot[there], block.tokens, block.start[at], block.left[at])
+        more = agree > best[there]
+        best[there[more]], item[there[more]] = agree[more], block.least[at[more]]
+    return best, item
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=HELD_BLOCKS)
 def _load(path: str, block: int, window: int) -> TestBlock:
     store, root = locate(path)
     found = pq.read_table(f"{root}/block={block}", filesystem=store, columns=["item", "text"], partitioning=None)
@@ -227,8 +304,8 @@ def find_contamination(
     Underscores are put before the name ``out`` while a column has it.
 
     ``n_hit`` counts words inside any occurrence of a window, ``items`` are the sorted ids (as text)
-    of test texts with an occurring window, ``matches`` the longest verbatim matches as first word,
-    words and item, ``longest`` the longest. Repeated rows get equal results. Without test texts,
+    of test texts with an occurring window, ``matches`` the longest verbatim match from each place that
+    the match before does not hold, as first word, words and an item, ``longest`` the longest. Repeated rows get equal results. Without test texts,
     every document is clean. Test texts with a null id are left out.
     """
     keep = docs.columns if keep is None else keep
@@ -242,7 +319,7 @@ def find_contamination(
             ("matches", pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64()), ("item", pa.string())]))),
         ])
         for whole in batches:
-            for batch in pieces(whole, text):
+            for batch in pieces(whole, text, SHARD_BYTES):
                 words, hits = scan(batch, text, path, blocks, window)
                 n_hit = np.bincount(words.row, weights=hits.hit, minlength=batch.num_rows).astype(np.int64)
                 rows = [
@@ -267,7 +344,7 @@ def remove_contaminated(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in pieces(whole, text):
+            for batch in pieces(whole, text, SHARD_BYTES):
                 _, hits = scan(batch, text, path, blocks, window)
                 yield batch.filter(pa.array(hits.longest == 0))
 

@@ -311,3 +311,28 @@ def test_decontamination_hard_cases(spark):
     assert left.columns == docs.columns and {r["doc_id"] for r in docs.collect()} - {r["doc_id"] for r in left.collect()} == {1, 2, 3}
     assert suffix.remove_contaminated(docs, bench.limit(0)).count() == docs.count()
     assert suffix.remove_contaminated(empty_docs(spark), bench).count() == 0
+
+
+def test_repeats_on_both_sides_do_not_multiply():
+    import time
+
+    items = [str(k) for k in range(50)]
+    block = suffix.encode_tests(items, pa.array(["la " * 200] * 50))
+    words_ = Words(pa.array(["la " * 20_000, "b " + "la " * 12 + "c", "la " * 9]))
+    hits = suffix.Hits(np.zeros(len(words_), bool), [set() for _ in range(3)], np.zeros(3, np.int64), [[] for _ in range(3)])
+    begin = time.time()
+    suffix.search(words_, block, hits)
+    assert time.time() - begin < 30
+    assert hits.items == [set(items), set(items), set()] and hits.longest.tolist() == [200, 12, 0]
+    assert hits.hit.sum() == 20_012 and hits.matches[1] == [(1, 12, "0")]
+
+
+def test_one_passage_in_many_items_and_places():
+    body = words(400, 3, 100_000)
+    block = suffix.encode_tests([f"i{k}" for k in range(40)], pa.array([body] * 40))
+    texts = [f"{words(30, 50 + k)} {body} {words(30, 90 + k)}" for k in range(200)]
+    w = Words(pa.array(texts))
+    hits = suffix.Hits(np.zeros(len(w), bool), [set() for _ in texts], np.zeros(200, np.int64), [[] for _ in texts])
+    suffix.search(w, block, hits)
+    assert all(len(i) == 40 for i in hits.items) and set(hits.longest) == {400}
+    assert hits.hit.sum() == 200 * 400 and all(m == [(30, 400, "i0")] for m in hits.matches)
