@@ -80,15 +80,15 @@ def fair_mix(
     """What the mix takes of each row: (doc_id, source, size, source_size, target, taken, key).
 
     ``taken`` counts the words of all copies that finish within the budget; the copy that crosses
-    it is cut there. Order within a stream is md5(seed:pass:doc_id), then size; rows that agree in
-    both are exchangeable. Rows without words take nothing. A null doc_id hashes as empty text.
+    it is cut there. Order within a stream is md5(seed:pass:doc_id:md5 of the text), so rows without an
+    id, or with the same one, are spread too; rows that agree in all are exchangeable. Rows without words take nothing. A null doc_id hashes as empty text.
     ``key`` is xxhash64 of the text. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mix")
     rows, n_rows = scratch.write_counting(
         docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(text).alias("size"),
-                    F.xxhash64(F.col(text)).alias("key"), F.monotonically_increasing_id().alias("_uid")), "rows"
+                    F.xxhash64(F.col(text)).alias("key"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("_text"), F.monotonically_increasing_id().alias("_uid")), "rows"
     )
     slice_rows = max(1, math.isqrt(n_rows))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_rows"))
@@ -103,7 +103,7 @@ def fair_mix(
     facts = scratch.write(facts, "facts")
     known = rows.join(facts, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     copies = known.where("size > 0").withColumn("_pass", F.explode(F.sequence(F.lit(0), F.col("_passes") - 1)))
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.col("_pass"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    key = F.md5(F.concat_ws(":", F.lit(seed), F.col("_pass"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("_text")))
     copies = copies.withColumn("_key", key).withColumn(
         "_slice",
         F.col("_pass") * F.col("_slices")

@@ -43,7 +43,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _MIX_SQL = """
 WITH RECURSIVE d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM {docs}
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+         md5(coalesce(text, '')) AS body FROM {docs}
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w,
          row_number() OVER (ORDER BY source NULLS LAST) AS stream
@@ -60,7 +61,7 @@ WITH RECURSIVE d AS (
   SELECT source, source_size, stream,
          least(3.0::DOUBLE * source_size, w * (SELECT max(level) FROM lv)) AS target FROM s
 ), c AS (
-  SELECT d.doc_id, d.size, t.stream, t.target, p AS pass, md5('mix:' || p || ':' || coalesce(d.doc_id::VARCHAR, '')) AS k
+  SELECT d.doc_id, d.size, t.stream, t.target, p AS pass, md5('mix:' || p || ':' || coalesce(d.doc_id::VARCHAR, '') || ':' || d.body) AS k
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source,
        unnest(range(0, ceil(t.target / greatest(t.source_size, 1))::BIGINT)) AS u(p)
   WHERE d.size > 0
