@@ -99,6 +99,11 @@ def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
     )
 
 
+def _level(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component near 1: the same cosines, no overflow."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
+
+
 def _norm(x: np.ndarray) -> np.ndarray:
     return np.sqrt((x * x).sum(1))
 
@@ -125,12 +130,12 @@ def _search(frame: pd.DataFrame, top: int) -> pd.DataFrame:
         a, b = np.searchsorted(asked, key[low], "left"), np.searchsorted(asked, key[low], "right")
         if a == b:
             continue
-        cands = np.stack(rows["vec"].iloc[low:high].tolist())
+        cands = _level(np.stack(rows["vec"].iloc[low:high].tolist()))
         c_norm = _norm(cands)
         step = max(1, 100_000 // (high - low))
         for at in range(a, b, step):
             q = who[at : min(at + step, b)]
-            wanted = np.stack(queries["vec"].iloc[q].tolist())
+            wanted = _level(np.stack(queries["vec"].iloc[q].tolist()))
             q_norm = _norm(wanted)
             rough = (wanted @ cands.T) / q_norm[:, None] / c_norm[None, :]
             rough[query_ids[q][:, None] == ids[low:high][None, :]] = -np.inf

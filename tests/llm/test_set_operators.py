@@ -204,3 +204,16 @@ def test_neighbours_hard_cases(spark, monkeypatch):
     want = {q: v for q, v in plain_nearest(rows, lambda i: i % 50 == 0).items() if v}
     assert got == want
     assert neighbours.nearest(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_neighbours_of_huge_and_tiny_vectors(spark):
+    rng = np.random.default_rng(8)
+    unit = rng.normal(size=(60, 6))
+    rows = [(k, [float(x) for x in unit[k] * (1e200 if k % 3 == 0 else 1e-200 if k % 3 == 1 else 1.0)]) for k in range(60)]
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 10 == 0).collect()
+    cosine = unit @ unit.T / np.linalg.norm(unit, axis=1)[:, None] / np.linalg.norm(unit, axis=1)[None, :]
+    for q in range(0, 60, 10):
+        order = sorted((k for k in range(60) if k != q), key=lambda k: -cosine[q, k])[:5]
+        mine = sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])
+        assert len(mine) == 5 and all(abs(r["score"] - cosine[q, r["vec_id"]]) < 1e-12 for r in mine)
+        assert len({r["vec_id"] for r in mine} & set(order)) >= 4
