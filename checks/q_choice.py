@@ -18,6 +18,7 @@ from dayplan.operators.choice import (
     utility,
     wide_probabilities,
 )
+from dayplan.operators.fit import fit_conditional_logit
 from dayplan.plans.modes import mode_base, primary_mode_choice_simulate
 from dayplan.plans.survey import estimate_workplace_model, survey_choice_table
 from dayplan.plans.timeofday import tod_choice_simulate, tod_features
@@ -327,6 +328,60 @@ def _(m: Model):
     return rows.select("obs_id", "job_id", "chosen")
 
 
+FIT_TERMS = [["log1p(dist)"], ["log1p(gen_tt_CAR)"]]
+FIT_STEPS = 12  # Newton steps in SQL; the last ones change nothing
+
+step(
+    "c_fit_known",
+    "SELECT p.obs_id, p.chosen, ln(1 + k.dist) AS x, ln(1 + k.gen_tt_CAR) AS y FROM (SELECT s.*, o.zone_id_home FROM c_survey_picks s "
+    "JOIN c_survey_own o USING (obs_id)) p JOIN c_alts a ON a.idx = p.idx LEFT JOIN c_imputed k "
+    "ON k.from_zone_id = p.zone_id_home AND k.to_zone_id = a.zone_id_work",
+)
+step(
+    "c_fit_rows",
+    "SELECT * FROM c_fit_known WHERE obs_id IN (SELECT obs_id FROM c_fit_known GROUP BY obs_id "
+    "HAVING sum(chosen) = 1 AND count(*) FILTER (WHERE x + y IS NULL) = 0)",
+)
+step("c_fit_b0", "SELECT CAST(0 AS DOUBLE) AS b, CAST(0 AS DOUBLE) AS c")
+for _i in range(FIT_STEPS + 1):
+    step(
+        f"c_fit_p{_i}",
+        "SELECT obs_id, chosen, x, y, v, m, e / sum(e) OVER w AS p, ln(sum(e) OVER w) AS l FROM (SELECT *, exp(v - m) AS e FROM "
+        "(SELECT *, max(v) OVER w AS m FROM (SELECT r.*, b * x + c * y AS v "
+        f"FROM c_fit_rows r, c_fit_b{_i}) WINDOW w AS (PARTITION BY obs_id))) WINDOW w AS (PARTITION BY obs_id)",
+    )
+    step(
+        f"c_fit_d{_i}",
+        "SELECT sum(ll) AS ll, count(*) AS n, sum(null_) AS null_, sum(cx - mx) AS g, sum(cy - my) AS h, sum(xx - mx * mx) AS xx, "
+        "sum(xy - mx * my) AS xy, sum(yy - my * my) AS yy FROM (SELECT sum(chosen * (v - m - l)) AS ll, -ln(count(*)) AS null_, "
+        "sum(chosen * x) AS cx, sum(chosen * y) AS cy, sum(p * x) AS mx, sum(p * y) AS my, sum(p * x * x) AS xx, "
+        f"sum(p * x * y) AS xy, sum(p * y * y) AS yy FROM c_fit_p{_i} GROUP BY obs_id)",
+    )
+    step(
+        f"c_fit_b{_i + 1}",
+        "SELECT b + (yy * g - xy * h) / (xx * yy - xy * xy) AS b, c + (xx * h - xy * g) / (xx * yy - xy * xy) AS c "
+        f"FROM c_fit_b{_i}, c_fit_d{_i}",
+    )
+
+
+@query(
+    "q_fit_two_terms",
+    "SELECT term, round(coef, 6) AS coef, round(std_err, 6) AS std_err, n, round(ll, 6) AS ll, round(null_, 6) AS ll_null, "
+    "round(1 - ll / null_, 6) AS r2, round(4 - 2 * ll, 6) AS aic, round(2 * ln(n) - 2 * ll, 6) AS bic, CAST(1 AS BIGINT) AS converged FROM "
+    f"(SELECT '{FIT_TERMS[0][0]}' AS term, b AS coef, sqrt(yy / (xx * yy - xy * xy)) AS std_err, ll, null_, n "
+    f"FROM c_fit_b{FIT_STEPS}, c_fit_d{FIT_STEPS} UNION ALL "
+    f"SELECT '{FIT_TERMS[1][0]}', c, sqrt(xx / (xx * yy - xy * xy)), ll, null_, n FROM c_fit_b{FIT_STEPS}, c_fit_d{FIT_STEPS})",
+    6,
+)
+def _(m: Model):
+    rows = survey_choice_table(survey_tables(m), ACCESS, INTER)
+    fit = fit_conditional_logit(rows, "obs_id", "chosen", FIT_TERMS, tolerance=1e-14)
+    s = fit.summary()
+    out = [(r["term"], r["coef"], r["std_err"], s["n"], s["ll"], s["ll_null"], s["r2"], s["aic"], s["bic"], 1) for r in fit.table()]
+    return m.spark.createDataFrame(
+        out, "term string, coef double, std_err double, n bigint, ll double, ll_null double, r2 double, aic double, bic double, converged int")
+
+
 @query("q_fit_workplace")
 def _(m: Model):
     fit = estimate_workplace_model(survey_tables(m), WLCM_GEN_TT)

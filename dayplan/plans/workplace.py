@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from dayplan.operators.relations import (
     update_column,
 )
 from dayplan.operators.skims import standard_skim_variables
-from dayplan.specs.choice import ALTERNATIVES_SAMPLED, WLCM_GEN_TT_SIMPLE, WORKER_FILTERS
+from dayplan.specs.choice import ALTERNATIVES_SAMPLED, WLCM, WLCM_GEN_TT_SIMPLE, WORKER_FILTERS
 from dayplan.specs.recodes import JOB_SECTORS
 
 CHOOSER_COLUMNS = [
@@ -24,6 +26,15 @@ CHOOSER_COLUMNS = [
 ]
 
 
+# measure of the model: skim table, its origin and destination, the column there
+NETWORK_MEASURES = {
+    "dist_da": ("mtc_skims", "orig", "dest", "da_distance_AM"),
+    "tt_da": ("mtc_skims", "orig", "dest", "da_Time_AM"),
+    "tt_wTrnW": ("mtc_skims", "orig", "dest", "wTrnW_Time_AM"),
+    "cost_da_toll": ("mtc_skims", "orig", "dest", "da_cost_AM"),
+}
+
+
 def workplace_choosers(tables: dict[str, DataFrame]) -> DataFrame:
     """Workers who leave home for work and whose home zone is known."""
     persons = add_zone_id_home(
@@ -81,6 +92,51 @@ def wlcm_simulate(
     )
 
 
+def skim_interactions(tables: dict[str, DataFrame], measures: dict[str, tuple[str, str, str, str]]) -> DataFrame:
+    """(zone_id_home, zone_id_work, measures): measures of several skim tables side by side.
+
+    Each table gives its columns under the model's names; the pairs meet in one aggregate, so a
+    pair that only some tables have keeps what they know. Where a table repeats a pair, the largest
+    value counts.
+    """
+    parts = []
+    for source in dict.fromkeys(m[:3] for m in measures.values()):
+        table, home, work = source
+        own = {name: m[3] for name, m in measures.items() if m[:3] == source}
+        parts.append(tables[table].select(
+            F.col(home).cast("double").alias("zone_id_home"), F.col(work).cast("double").alias("zone_id_work"),
+            *[F.col(own[n]).cast("double").alias(n) if n in own else F.lit(None).cast("double").alias(n) for n in measures]))
+    return reduce(DataFrame.unionByName, parts).groupBy("zone_id_home", "zone_id_work").agg(*[F.max(n).alias(n) for n in measures])
+
+
+def network_alternatives(tables: dict[str, DataFrame], columns: list[str]) -> DataFrame:
+    """Jobs with their zone, sector dummies and ``columns`` of the walk and drive node of their parcel."""
+    jobs = add_zone_id_work(tables["jobs"], tables["buildings"], tables["parcels"])
+    merged = merge_tables(
+        {**tables, "jobs": add_job_columns(jobs)}, "jobs", ["jobs", "buildings", "parcels", "nodeswalk", "nodessmall"])
+    return merged.select("job_id", "zone_id_work", *JOB_SECTORS, *columns)
+
+
+def wlcm_network_simulate(
+    tables: dict[str, DataFrame],
+    terms: Terms = WLCM,
+    node_columns: tuple[str, ...] = ("jobs_1500_walk_retail",),
+    measures: dict[str, tuple[str, str, str, str]] = NETWORK_MEASURES,
+    k: int = ALTERNATIVES_SAMPLED,
+    salt: str = "wlcm",
+    rounds: int | None = None,
+) -> DataFrame:
+    """(person_id, job_id, round) by the model that looks at street networks and period skims.
+
+    ``tables`` hold the node variables as ``nodeswalk`` and ``nodessmall``, and the skim tables that
+    ``measures`` names.
+    """
+    return capacity_choice(
+        workplace_choosers(tables), network_alternatives(tables, list(node_columns)), "person_id", "job_id",
+        terms, skim_interactions(tables, measures), ["zone_id_home", "zone_id_work"], k, salt, rounds,
+    )
+
+
 def assign_jobs(persons: DataFrame, assignment: DataFrame) -> DataFrame:
     """Persons with ``job_id`` written from a workplace assignment."""
     return update_column(persons, "person_id", assignment.select("person_id", "job_id"), "job_id")
