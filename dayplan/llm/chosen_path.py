@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayplan.llm.components import components
-from dayplan.llm.shared import Scratch, Words, bit_filter, in_filter, mix, pieces
+from dayplan.llm.shared import Scratch, Words, bit_filter, enter, in_filter, mix, pieces
 
 SIZE = 5
 SIMILARITY = 0.8
@@ -166,6 +166,7 @@ def sketch_rows(docs: DataFrame, doc_id: str, text: str, size: int, places: int)
         F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("copies")
         for whole in batches:
             for batch in pieces(whole, "text"):
                 tokens, sizes = shingles(Words(batch.column(1)), size)
@@ -184,6 +185,7 @@ def _grow(rows: DataFrame, runs: int | None, similarity: float, places: int) ->
     """Children (id, node) of (id, sketch[, node]); without nodes, of the roots of all runs."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        enter("copies")
         for frame in batches:
             tokens, ids = _matrix(frame["sketch"], places), frame["id"].to_numpy(np.int64)
             if runs is None:
@@ -223,6 +225,7 @@ def candidate_links(
     groups = max(1, -(-count // 20_000))
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        enter("copies")
         frame = frame.sort_values(["node", "id"], ignore_index=True)
         ids = frame["id"].to_numpy(np.int64)
         a, b = _near_pairs(frame["node"].to_numpy(np.int64), _matrix(frame["sketch"], places), similarity - MARGIN)
@@ -249,6 +252,7 @@ def _fetch_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, size
     read = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("copies")
         for whole in batches:
             for batch in pieces(whole, "text"):
                 tokens, sizes = shingles(Words(batch.column(1)), size)
@@ -346,6 +350,7 @@ def exact_links(members: DataFrame, similarity: float, scratch: Scratch, tokens:
     groups = max(1, -(-tokens // GROUP_TOKENS))
 
     def check(frame: pd.DataFrame) -> pd.DataFrame:
+        enter("copies")
         out = []
         for _, part in frame.groupby("unit", sort=False):
             ids = part["id"].to_numpy(np.int64)

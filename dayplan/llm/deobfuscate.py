@@ -23,8 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayplan.llm import labels as lab
-from dayplan.llm.shared import Scratch, Words, mix, pieces, text_bytes
-from dayplan.llm.shared import _LOWER
+from dayplan.llm.shared import _LOWER, Scratch, Words, enter, mix, pieces, text_bytes
 
 FOLDS = 5
 PREFIXES = (4, 5, 6)  # bytes of word beginnings that count as terms
@@ -61,6 +60,7 @@ def count_trigrams(docs: DataFrame, text: str) -> DataFrame:
     """(gram, n): character trigrams of all texts; each task adds its own up before they are shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("toxicity")
         total: np.ndarray | None = None
         for whole in batches:
             for batch in pieces(whole, text):
@@ -283,6 +283,7 @@ def fit_toxicity(
     shared = spark.sparkContext.broadcast((grams, counts))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("toxicity")
         channel = Channel(*shared.value)
         for whole in batches:
             for batch in pieces(whole, "text"):
@@ -320,6 +321,7 @@ def fit_toxicity(
     given = spark.sparkContext.broadcast(halves)
 
     def crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("toxicity")
         channel = Channel(*shared.value)
         for full in batches:
             for batch in pieces(full, "text"):
@@ -343,6 +345,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id"
     read = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("toxicity")
         score = shared.value.scorer()
         for whole in batches:
             for batch in pieces(whole, "text"):
@@ -358,6 +361,7 @@ def remove_toxic(docs: DataFrame, model: ToxicityModel, text: str = "text", limi
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("toxicity")
         score = shared.value.scorer()
         for whole in batches:
             for batch in pieces(whole, text):

@@ -2,7 +2,7 @@
 
 A file is nothing but ids. Blocks of ids are read independently, each searched for the
 end-of-document id at once in numpy. Documents that cross blocks are stitched by a prefix scan
-over the blocks: the count of ends before a block and the place of the last one.
+over runs of blocks and over the blocks of a run: the count of ends before and the place of the last.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from dayplan.llm.tokens import TOKENIZER, encoder, text_runs
 
 END = 50256
 BLOCK_IDS = 1 << 20
+RUN_BLOCKS = 1024
 
 
 def write_flat(
@@ -37,7 +38,7 @@ def write_flat(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pid = TaskContext.get().partitionId()
-        coder = encoder(tokenizer, dtype)
+        coder = encoder(tokenizer, dtype, added=False)
         tail = np.array([end_id], coder.dtype).tobytes()
         name, sink = new_file(folder, pid)
         at = 0
@@ -102,12 +103,19 @@ def scan_files(
         blocks.repartition(n).mapInPandas(search, "name string, block bigint, nth bigint, at bigint, last bigint"), "ends"
     )
     summary = ends.groupBy("name", "block").agg(F.count("*").alias("n"), F.max("at").alias("top"))
-    order = Window.partitionBy("name").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = summary.select(
-        F.col("name").alias("c_name"), F.col("block").alias("c_block"),
-        F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"),
-        F.coalesce(F.max("top").over(order), F.lit(-1)).alias("carry"),
-    )
+    # runs of blocks, then blocks within a run: no window holds all blocks of a large file
+    summary = scratch.write(summary.withColumn("run", F.expr(f"block div {RUN_BLOCKS}")), "summary")
+    order = Window.partitionBy("name").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = summary.groupBy("name", "run").agg(F.sum("n").alias("r_n"), F.max("top").alias("r_top")).select(
+        F.col("name").alias("r_name"), F.col("run").alias("r_run"),
+        F.coalesce(F.sum("r_n").over(order), F.lit(0)).alias("r_before"),
+        F.coalesce(F.max("r_top").over(order), F.lit(-1)).alias("r_carry"))
+    inside = Window.partitionBy("name", "run").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = summary.withColumns({
+        "i_before": F.coalesce(F.sum("n").over(inside), F.lit(0)), "i_carry": F.coalesce(F.max("top").over(inside), F.lit(-1)),
+    }).join(runs, (F.col("name") == F.col("r_name")) & (F.col("run") == F.col("r_run"))).select(
+        F.col("name").alias("c_name"), F.col("block").alias("c_block"), (F.col("i_before") + F.col("r_before")).alias("before"),
+        F.greatest("i_carry", "r_carry").alias("carry"))
     start = F.coalesce(F.col("last"), F.col("carry")) + 1
     closed = ends.join(carried, (F.col("name") == F.col("c_name")) & (F.col("block") == F.col("c_block"))).select(
         "name", (F.col("before") + F.col("nth")).alias("row"), start.alias("start"),
@@ -124,8 +132,8 @@ def scan_files(
 def token_counts(docs: DataFrame, **names) -> DataFrame:
     """(doc_id, part, row, start, n_tokens) of every row of ``docs``: written flat, then found by the scan.
 
-    A null text is an empty document. A document whose ids hold the end id would count as several;
-    text never encodes to it.
+    A null text is an empty document. The end id is a token that the vocabulary adds; a text that
+    spells it out is encoded letter by letter here, so only the ends of documents are ends.
     """
     scratch = Scratch(docs.sparkSession, "separators")
     folder = f"{scratch.root}/ids"

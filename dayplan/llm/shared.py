@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,7 +23,29 @@ _IN_WORD = np.zeros(256, bool)
 _IN_WORD[48:58] = _IN_WORD[97:123] = _IN_WORD[128:] = True
 _IN_WORD[65:91] = True
 
-PIECE_BYTES = 4 << 20  # text bytes that one numpy pass works on
+PIECE_BYTES = 1 << 20  # text bytes that one numpy pass works on; it takes some 60 times as much memory
+
+# Python workers are reused: what an operator keeps in one from task to task is dropped by the next operator.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keeps(owner: str, drop: Callable[[], None]) -> None:
+    _KEPT[owner] = drop
+
+
+def enter(owner: str) -> None:
+    """To be called at the start of a task that needs much memory.
+
+    Drops what other operators left in this worker and gives free memory, which the allocators of
+    Arrow and C keep, back to the machine.
+    """
+    for name in [n for n in _KEPT if n != owner]:
+        _KEPT.pop(name)()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

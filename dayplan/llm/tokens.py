@@ -4,10 +4,14 @@ A byte-level BPE works on pre-tokens (a word with the space before it, a number,
 white space) and never joins across them, so the ids of a text are the ids of its pre-tokens. Each
 task keeps the ids of pre-tokens, and of what lies between two spaces, that it has met, up to a
 bound, and hands only new ones to the tokenizer's model.
+
+A vocabulary may add tokens of its own, like an end-of-text mark: where a text spells one out, the
+library gives its id, and so does ``Encoder``, unless it is told to encode the mark as any other text.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from functools import lru_cache
@@ -15,6 +19,8 @@ from functools import lru_cache
 import numpy as np
 import regex
 
+from dayplan.llm.shared import keeps
+
 TOKENIZER = "byte_bpe_50k.json"
 CACHE_PIECES = 800_000  # about 150 MB, twice
 # The byte-level pre-token pattern (fixed value of the tokenizer).
@@ -66,13 +72,33 @@ class _Chunks(dict):
         return found
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Tokens beside the model, with their ids; an error if the file is not a plain byte-level vocabulary."""
+    with open(path, encoding="utf-8") as source:
+        parts = json.load(source)
+    before = parts.get("pre_tokenizer") or {}
+    plain = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
+    added = parts.get("added_tokens") or []
+    if not plain or parts.get("normalizer") or any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added):
+        raise ValueError(f"{path} does more to a text than byte-level pre-tokens")
+    return {t["content"]: t["id"] for t in added}
+
+
 class Encoder:
-    """``ids(texts)``: the ids of each text as bytes of ``dtype``."""
+    """``ids(texts)``: the ids of each text as bytes of ``dtype``, the same as the library's.
+
+    With ``added`` off, added tokens in texts are spelled out like other text.
+    """
 
-    def __init__(self, path: str, dtype: str = "<u2", cache_pieces: int = CACHE_PIECES):
+    def __init__(self, path: str, dtype: str = "<u2", cache_pieces: int = CACHE_PIECES, added: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        tokens = added_tokens(path)
+        self.added = {content: np.array([i], dtype).tobytes() for content, i in tokens.items()} if added else {}
+        # of several that begin at one place the longest counts
+        names = "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True))
+        self.mark = re.compile(f"({names})") if names else None
         self.dtype, self.most = np.dtype(dtype), cache_pieces
         if self.tokenizer.get_vocab_size() > np.iinfo(self.dtype).max + 1:
             raise ValueError(f"ids do not fit in {dtype}")
@@ -89,18 +115,24 @@ class Encoder:
         for cache in (self.pieces, self.chunks):
             if len(cache) > self.most:
                 cache.clear()
-        return [self._ids(text or "") for text in texts]
+        return [self._whole(text or "") for text in texts]
+
+    def _whole(self, text: str) -> bytes:
+        if self.mark is None or not self.mark.search(text):
+            return self._ids(text)
+        return b"".join(self.added.get(part) or self._ids(part) for part in self.mark.split(text) if part)
 
 
 @lru_cache(maxsize=1)
-def encoder(name: str = TOKENIZER, dtype: str = "<u2") -> Encoder:
+def encoder(name: str = TOKENIZER, dtype: str = "<u2", added: bool = True) -> Encoder:
     """The encoder of a vocabulary file; a bare name is looked up among the public ones."""
+    keeps("tokens", encoder.cache_clear)
     path = name
     if not os.path.isabs(name):
         import public_tokenizers
 
         path = public_tokenizers.path(name)
-    return Encoder(path, dtype)
+    return Encoder(path, dtype, added=added)
 
 
 def text_runs(texts: list[str | None], limit: int = 1 << 20):

@@ -95,19 +95,34 @@ def test_ids_equal_the_tokenizers():
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
-    texts = ["", None, " ", "  ", "a", " a", "a  b", "a \n b\n\n  c ", "don't we'll I'D", "x²½ y\x1c \x85z\xa0", "日本　語 x", "1234 5,6",
+    texts = ["a<|endoftext|>b <|endoftext|><|endoftext|>", "<|endoftext|", "", None, " ", "  ", "a", " a", "a  b", "a \n b\n\n  c ", "don't we'll I'D", "x²½ y\x1c \x85z\xa0", "日本　語 x", "1234 5,6",
              "<|endoftext|> z", "é" * 300, words(500, 1), "\t\t\n", "a_b __c__", "٣٤ ٥", "🙂 🙂🙂", "x​ y"]
     got = encoder().ids(texts)
     for text, ids in zip(texts, got):
         assert np.frombuffer(ids, "<u2").tolist() == plain.encode(text or "", add_special_tokens=False).ids, repr(text)
+    plain.encode_special_tokens = True  # what the separator scan wants: only the ends of documents are end ids
+    for text, ids in zip(texts, Encoder(public_tokenizers.path("byte_bpe_50k.json"), added=False).ids(texts)):
+        assert np.frombuffer(ids, "<u2").tolist() == plain.encode(text or "", add_special_tokens=False).ids, repr(text)
+
+
+def test_other_vocabularies_are_refused(tmp_path):
+    import json
+
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as source:
+        parts = json.load(source)
+    parts["normalizer"] = {"type": "Lowercase"}
+    path = tmp_path / "lower.json"
+    path.write_text(json.dumps(parts))
+    with pytest.raises(ValueError):
+        Encoder(str(path))
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.text(alphabet=st.sampled_from(list("ab1 \n\t'!é²\x1c\xa0日")), max_size=30))
+@given(st.lists(st.sampled_from(["<|endoftext|>", *"ab1 \n\t'!é²\x1c\xa0日<|"]), max_size=30).map("".join))
 def test_ids_equal_the_tokenizers_on_any_text(text):
     coder = encoder()
-    coder.tokenizer.encode_special_tokens = True
     assert np.frombuffer(coder.ids([text])[0], "<u2").tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -155,7 +170,7 @@ def test_simple8b_files_in_order(spark):
 def test_separator_scan_counts(spark):
     docs = hard_docs(spark).repartition(3)
     got = separators.token_counts(docs).collect()
-    want = [(r["doc_id"], len(encoder().ids([r["text"]])[0]) // 2) for r in docs.collect()]
+    want = [(r["doc_id"], len(encoder(added=False).ids([r["text"]])[0]) // 2) for r in docs.collect()]
     assert sorted(map(repr, want)) == sorted(repr((r["doc_id"], r["n_tokens"])) for r in got)
     assert separators.token_counts(empty_docs(spark)).count() == 0
 
