@@ -1,14 +1,13 @@
 """Exact order statistics of whole columns without a global sort or one big group.
 
 Each pass is one map-side-combined aggregate. A search keeps the value range that
-holds the wanted rank and narrows it with a fixed-width histogram until the range
-is small enough to pick from, so neither a task nor the driver ever holds more
-than a bounded number of values.
+holds the wanted rank and narrows it with a fixed-width histogram until a single
+value is left. The least and the largest value of a range never share a bin, so every
+pass gets on; neither a task nor the driver ever holds more than the bins.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -16,8 +15,7 @@ from pyspark.sql import functions as F
 
 from dayplan.functions.nulls import INF
 
-BINS = 1024
-DIRECT_LIMIT = 50_000
+BINS = 4096
 
 
 @dataclass
@@ -26,20 +24,19 @@ class _Search:
     rank: int  # zero-based rank inside [low, high]
     low: float
     high: float
-    count: int
     value: float | None = None
 
 
 def order_statistics(
-    df: DataFrame, ranks: dict[str, list[int]], direct_limit: int = DIRECT_LIMIT, bins: int = BINS
+    df: DataFrame, ranks: dict[str, list[int]], bins: int = BINS
 ) -> dict[str, list[float]]:
     """Zero-based order statistics of numeric columns; nulls and NaN are skipped."""
     stats = _column_stats(df, list(ranks))
-    return _select(df, {c: (stats[c], r) for c, r in ranks.items()}, direct_limit, bins)
+    return _select(df, {c: (stats[c], r) for c, r in ranks.items()}, bins)
 
 
 def exact_medians(
-    df: DataFrame, columns: list[str], direct_limit: int = DIRECT_LIMIT, bins: int = BINS
+    df: DataFrame, columns: list[str], bins: int = BINS
 ) -> dict[str, float | None]:
     """Median per column; infinities take part as the largest or smallest values."""
     stats = _column_stats(df, columns)
@@ -48,7 +45,7 @@ def exact_medians(
         n = sum(stats[c][k] for k in ("neg", "fin", "pos"))
         if n:
             wanted[c] = (stats[c], [(n - 1) // 2, n // 2])
-    found = _select(df, wanted, direct_limit, bins)
+    found = _select(df, wanted, bins)
     out: dict[str, float | None] = {}
     for c in columns:
         pair = found.get(c)
@@ -80,7 +77,7 @@ def _column_stats(df: DataFrame, columns: list[str]) -> dict[str, dict]:
     }
 
 
-def _select(df: DataFrame, wanted: dict, direct_limit: int, bins: int) -> dict[str, list[float]]:
+def _select(df: DataFrame, wanted: dict, bins: int) -> dict[str, list[float]]:
     searches: list[_Search] = []
     slots: dict[str, list[_Search]] = {}
     for c, (stat, ranks) in wanted.items():
@@ -88,7 +85,7 @@ def _select(df: DataFrame, wanted: dict, direct_limit: int, bins: int) -> dict[s
         by_rank: dict[int, _Search] = {}
         for rank in ranks:
             if rank not in by_rank:
-                s = _Search(c, rank - stat["neg"], stat["min"], stat["max"], stat["fin"])
+                s = _Search(c, rank - stat["neg"], stat["min"], stat["max"])
                 if rank < stat["neg"]:
                     s.value = -INF
                 elif s.rank >= stat["fin"]:
@@ -100,11 +97,7 @@ def _select(df: DataFrame, wanted: dict, direct_limit: int, bins: int) -> dict[s
             slots[c].append(by_rank[rank])
     open_searches = [s for s in searches if s.value is None]
     while open_searches:
-        wide = [s for s in open_searches if s.count > direct_limit]
-        if wide:
-            _narrow(df, wide, bins)
-        else:
-            _pick(df, open_searches)
+        _narrow(df, open_searches, bins)
         open_searches = [s for s in searches if s.value is None]
     return {c: [s.value for s in found] for c, found in slots.items()}
 
@@ -121,8 +114,13 @@ def _narrow(df: DataFrame, searches: list[_Search], bins: int) -> None:
         v, inside = _inside(s)
         # scale each end first, so that a range wider than the double maximum stays finite
         step = s.high / bins - s.low / bins
-        at = (v / F.lit(float(bins)) - F.lit(s.low / bins)) / F.lit(step) * F.lit(float(bins))
-        bin_no = F.least(F.lit(bins - 1), F.floor(at).cast("int"))
+        if step > 0:
+            at = (v / F.lit(float(bins)) - F.lit(s.low / bins)) / F.lit(step) * F.lit(float(bins))
+            # the rounding of the scale must not push a value out, nor the largest into the first bin
+            bin_no = F.when(v == s.high, F.lit(bins - 1)).otherwise(
+                F.greatest(F.lit(0), F.least(F.lit(bins - 2 if bins > 2 else 0), F.floor(at).cast("int"))))
+        else:  # the range is too narrow to be divided: its least value and the rest
+            bin_no = F.when(v == s.low, F.lit(0)).otherwise(F.lit(1))
         cells.append(
             F.when(inside, F.struct(F.lit(i).alias("i"), bin_no.alias("b"), v.alias("v")))
         )
@@ -137,23 +135,10 @@ def _narrow(df: DataFrame, searches: list[_Search], bins: int) -> None:
         left = s.rank
         for r in sorted((r for r in rows if r["i"] == i), key=lambda r: r["b"]):
             if left < r["n"]:
-                s.rank, s.low, s.high, s.count = left, r["lo"], r["hi"], r["n"]
+                s.rank, s.low, s.high = left, r["lo"], r["hi"]
                 break
             left -= r["n"]
+        else:
+            raise RuntimeError(f"{s.column} changed between two passes; materialize the input first")
         if s.low == s.high:
             s.value = s.low
-
-
-def _pick(df: DataFrame, searches: list[_Search]) -> None:
-    """Sort the few values left in each range and read off the wanted rank."""
-    aggs = []
-    for i, s in enumerate(searches):
-        v, inside = _inside(s)
-        values = F.sort_array(F.collect_list(F.when(inside, v)))
-        aggs.append(F.element_at(values, s.rank + 1).alias(f"v{i}"))
-    row = df.agg(*aggs).first()
-    for i, s in enumerate(searches):
-        value = row[f"v{i}"]
-        if value is None or math.isnan(value):
-            raise RuntimeError(f"{s.column} changed between two passes; materialize the input first")
-        s.value = value
