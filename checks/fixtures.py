@@ -209,6 +209,18 @@ def duck_ctes(names: list[str]) -> list[str]:
     return [f"fx_{n} AS MATERIALIZED ({_DUCK[n].format(**fill)})" for n in order if n in wanted]
 
 
+STORED: dict[str, str] = {}  # data folder: where ``store_model`` has put its model tables
+
+
+def store_model(spark: SparkSession, folder: str, path: str) -> None:
+    """Write all model tables of a data folder once; later models read them."""
+    model = Model(spark, folder)
+    for name in _SPARK:
+        model[name].write.mode("overwrite").parquet(f"{path}/{name}")
+        model._tables[name] = spark.read.parquet(f"{path}/{name}")
+    STORED[folder] = path
+
+
 class Model:
     """The model tables of one data folder as Spark DataFrames, built on demand."""
 
@@ -220,6 +232,8 @@ class Model:
         if name not in self._tables:
             if name in BASE:
                 self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            elif self.folder in STORED:
+                self._tables[name] = self.spark.read.parquet(f"{STORED[self.folder]}/{name}")
             else:
                 sql = _SPARK[name]
                 needed = [t for t in (*BASE, *_SPARK) if "{" + t + "}" in sql]

@@ -254,6 +254,24 @@ def _still_possible(
     return waiting, free.select(alternative)
 
 
+NUMBER_BUCKET = 1 << 16  # alternatives of one bucket of numbers
+
+
+def _renumbered(free: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, int]:
+    """``free`` (an alternative and its first number ``place``) with a gap-free ``idx`` in the same order, and its size.
+
+    The first numbers never change, so buckets of them are in order: only a count per bucket is
+    added up, and the rows are ranked within their bucket. Nothing is sorted as a whole again.
+    """
+    stored, size = scratch.write_counting(free.withColumn("_bucket", F.expr(f"place div {NUMBER_BUCKET}")), name)
+    before = F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = stored.groupBy("_bucket").agg(F.count("*").alias("_n")).select(
+        "_bucket", F.coalesce(before, F.lit(0)).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("place"))
+    return stored.withColumn("_rank", rank).join(offsets, "_bucket").withColumn(
+        "idx", F.col("_before") + F.col("_rank") - 1).drop("_bucket", "_rank", "_before"), size
+
+
 def capacity_choice(
     choosers: DataFrame,
     alts: DataFrame,
@@ -275,7 +293,7 @@ def capacity_choice(
     could take anything that is free. Returns (chooser, alternative, round).
 
     The attributes are stored once. After the first round, which holds nearly all choosers,
-    only the keys of the free alternatives are numbered again.
+    only the keys of the free alternatives are numbered again, by buckets.
     """
     spark = choosers.sparkSession
     scratch = Scratch(spark, "capacity")
@@ -283,7 +301,7 @@ def capacity_choice(
     waiting = scratch.write(choosers.repartition(task_count(spark)), "waiting-0")
     indexed, size = dense_index(alts, alternative)
     attributes = indexed.drop("idx")
-    free = indexed.select(alternative)
+    free = indexed.select(alternative, F.col("idx").alias("place"))
     placed: list[DataFrame] = []
     number = 0
     while size > 0 and (rounds is None or number < rounds):
@@ -310,14 +328,15 @@ def capacity_choice(
             waiting = complement(waiting, winners, chooser)
             free = complement(free, winners, alternative)
         else:
-            waiting, free = _still_possible(
-                waiting, attributes.join(free, alternative), chooser, alternative, terms, interactions, on
+            waiting, left = _still_possible(
+                waiting, attributes.join(free.select(alternative), alternative), chooser, alternative, terms, interactions, on
             )
+            free = free.join(left, alternative, "left_semi")
         waiting, remaining = scratch.write_counting(waiting.repartition(task_count(spark)), f"waiting-{number}")
         if remaining == 0:
             break
-        indexed, size = dense_index(free, alternative)
-        free = indexed.select(alternative)
+        numbered, size = _renumbered(free, scratch, f"free-{number}")
+        free, indexed = numbered.select(alternative, "place"), numbered.select(alternative, "idx")
     if not placed:
         schema = T.StructType([choosers.schema[chooser], alts.schema[alternative]])
         return spark.createDataFrame([], schema).withColumn("round", F.lit(0))
