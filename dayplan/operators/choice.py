@@ -209,6 +209,18 @@ def draw_choice(
 # ---------------------------------------------------------------- capacity of one
 
 
+def _known(df: DataFrame, terms: Terms) -> DataFrame:
+    """Rows in which every column and factor of ``terms`` that ``df`` alone decides is known."""
+    have = {c.lower() for c in df.columns}
+    for factor in sorted({f for _, factors in terms for f in factors}):
+        names = {n.lower() for n in re.findall(r"[A-Za-z_]\w*(?!\w*\s*\()", factor)}
+        for name in sorted(names & have):
+            df = df.where(F.col(name).isNotNull())
+        if names <= have:
+            df = df.where(F.expr(factor).isNotNull())
+    return df
+
+
 def _still_possible(
     waiting: DataFrame,
     free: DataFrame,
@@ -225,24 +237,14 @@ def _still_possible(
     row, is judged by the distinct keys of the sides, never by single pairs.
     """
 
-    def known(df: DataFrame) -> DataFrame:
-        have = {c.lower() for c in df.columns}
-        for factor in sorted({f for _, factors in terms for f in factors}):
-            names = {n.lower() for n in re.findall(r"[A-Za-z_]\w*(?!\w*\s*\()", factor)}
-            for name in sorted(names & have):
-                df = df.where(F.col(name).isNotNull())
-            if names <= have:
-                df = df.where(F.expr(factor).isNotNull())
-        return df
-
-    waiting, free = known(waiting), known(free)
+    waiting, free = _known(waiting, terms), _known(free, terms)
     if interactions is None:
         if free.isEmpty() or waiting.isEmpty():
             return waiting.limit(0), free.select(alternative)
         return waiting, free.select(alternative)
     ours = [c for c in on if c in waiting.columns]
     theirs = [c for c in on if c not in ours]
-    met = known(interactions)
+    met = _known(interactions, terms)
     if ours:
         met = met.join(waiting.select(*ours).distinct(), ours, "left_semi")
     if theirs:
@@ -254,6 +256,42 @@ def _still_possible(
     return waiting, free.select(alternative)
 
 
+def _sample_priced(
+    waiting: DataFrame, free: DataFrame, chooser: str, alternative: str, terms: Terms, interactions: DataFrame,
+    on: list[str], k: int, salt: str,
+) -> DataFrame:
+    """Choosers with up to ``k`` free alternatives that share a known interaction row with them.
+
+    ``free`` carries the alternatives' columns. Free alternatives are numbered in order of their
+    keys; each key that a chooser can go with is a range of numbers, and draws fall on its ranges in
+    proportion to their length, equal draws once. A chooser's list holds one entry per key.
+    """
+    ours = [c for c in on if c in waiting.columns]
+    theirs = [c for c in on if c not in ours]
+    order, _ = dense_index(free, *theirs, alternative, name="_at")
+    ranges = order.groupBy(*theirs).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    entry = F.struct(F.col("_first").alias("first"), F.col("_n").alias("n"))
+    lists = (
+        _known(interactions, terms).select(*on).distinct().join(ranges, theirs)
+        .groupBy(*ours).agg(F.sort_array(F.collect_list(entry)).alias("_ranges"))
+        .withColumn("_all", F.aggregate("_ranges", F.lit(0).cast("bigint"), lambda s, r: s + r["n"]))
+    )
+    digests = F.array(*[digest(f"{salt}|{block}", F.col(chooser)) for block in range((k + 3) // 4)])
+    hashes = F.slice(F.flatten(F.transform(digests, lambda d: F.array(*[draw(d, i) for i in range(4)]))), 1, k)
+
+    def place(hit: Column) -> Column:
+        """The number that the ``hit``-th of a chooser's alternatives has."""
+        start = F.struct(hit.alias("left"), F.lit(-1).cast("bigint").alias("at"))
+        return F.aggregate("_ranges", start, lambda s, r: F.struct(
+            F.when(s["at"] < 0, s["left"] - r["n"]).otherwise(s["left"]).alias("left"),
+            F.when((s["at"] < 0) & (s["left"] < r["n"]), r["first"] + s["left"]).otherwise(s["at"]).alias("at")), lambda s: s["at"])
+
+    drawn = waiting.join(lists, ours).withColumn("_hits", F.array_distinct(F.transform(
+        hashes, lambda h: F.floor(h / F.lit(4294967296.0) * F.col("_all")).cast("bigint"))))
+    rows = drawn.select(*waiting.columns, "_ranges", F.explode("_hits").alias("_hit")).withColumn("_at", place(F.col("_hit")))
+    return rows.drop("_ranges", "_hit").join(order, "_at").drop("_at")
+
+
 NUMBER_BUCKET = 1 << 16  # alternatives of one bucket of numbers
 
 
@@ -289,8 +327,10 @@ def capacity_choice(
     Each round samples k free alternatives per unplaced chooser, draws one, and settles
     clashes by a hashed lottery. Rounds go on until choosers or alternatives run out;
     ``rounds`` stops earlier. After a round that places nobody, choosers and alternatives
-    without any utility left between them go, so the loop ends only when nobody who waits
-    could take anything that is free. Returns (chooser, alternative, round).
+    without any utility left between them go, and from then on choosers draw only from
+    alternatives they have an interaction row with. So each further round places somebody, and the
+    loop ends only when nobody who waits could take anything that is free. Returns (chooser,
+    alternative, round).
 
     The attributes are stored once. After the first round, which holds nearly all choosers,
     only the keys of the free alternatives are numbered again, by buckets.
@@ -303,12 +343,18 @@ def capacity_choice(
     attributes = indexed.drop("idx")
     free = indexed.select(alternative, F.col("idx").alias("place"))
     placed: list[DataFrame] = []
-    number = 0
+    number, idle = 0, False
+    both_sides = interactions is not None and 0 < sum(c in choosers.columns for c in on) < len(on)
     while size > 0 and (rounds is None or number < rounds):
         number += 1
-        rows = sample_indexed(waiting, indexed, size, chooser, k, f"{salt}|alt|{number}")
-        if number > 1:
-            rows = rows.join(attributes, alternative)
+        if idle and both_sides:
+            rows = _sample_priced(
+                waiting, attributes.join(indexed.select(alternative), alternative), chooser, alternative, terms,
+                interactions, on, k, f"{salt}|alt|{number}")
+        else:
+            rows = sample_indexed(waiting, indexed, size, chooser, k, f"{salt}|alt|{number}")
+            if number > 1:
+                rows = rows.join(attributes, alternative)
         if interactions is not None:
             rows = rows.join(interactions, on, "left")
         priced = rows.select(chooser, alternative, utility(terms).alias("_v"))
@@ -328,6 +374,7 @@ def capacity_choice(
             waiting = complement(waiting, winners, chooser)
             free = complement(free, winners, alternative)
         else:
+            idle = True
             waiting, left = _still_possible(
                 waiting, attributes.join(free.select(alternative), alternative), chooser, alternative, terms, interactions, on
             )

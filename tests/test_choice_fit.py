@@ -171,3 +171,13 @@ def test_summary_identities_hold_for_the_published_fits(n, j, k, ll, null, r2, a
     assert fit.r2 == pytest.approx(r2, abs=6e-4)
     assert fit.aic == pytest.approx(aic, abs=2e-3)
     assert fit.bic == pytest.approx(bic, abs=2e-3)
+
+
+def test_the_last_workers_find_the_only_priced_job(spark):
+    # three workers of one zone, 100,000 jobs, of which two lie where the workers have skims to
+    workers = spark.createDataFrame([(1, 1.0), (2, 1.0), (3, 1.0)], "person_id long, zone_id_home double")
+    jobs = spark.range(100_000).selectExpr("id as job_id", "cast(if(id in (777, 90000), 5, id % 4) as double) as zone_id_work")
+    skims = spark.createDataFrame([(1.0, 5.0, 2.0), (1.0, 0.0, None), (9.0, 1.0, 1.0)], "zone_id_home double, zone_id_work double, dist double")
+    got = capacity_choice(workers, jobs, "person_id", "job_id", [(-0.1, ["dist"])], skims, ["zone_id_home", "zone_id_work"], k=10).collect()
+    assert {r["job_id"] for r in got} == {777, 90000} and len({r["person_id"] for r in got}) == 2
+    assert max(r["round"] for r in got) <= 5
