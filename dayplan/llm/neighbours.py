@@ -6,6 +6,10 @@ bucket and the perturbed ones in order of estimated success: the sum of squared
 its projections to the cell borders that a perturbation crosses. All candidates of a visited
 bucket are scored exactly, the best of every bucket group are merged over tables and ranked.
 
+Hashes follow the number of rows, one more for every doubling, so buckets do not fill up; a further
+hash asks for ``GROWTH`` times the visits at equal recall. Buckets halve where visits grow by less
+than two, so the share of rows that a query sees falls as the table grows.
+
 Bucket rows are dealt out in groups of bounded size; a bucket above the bound is cut into parts
 that are visited one by one, so nothing is dropped. Queries that find too few rows are held
 against all rows, in blocks. No vector set is collected or broadcast.
@@ -13,7 +17,7 @@ against all rows, in blocks. No vector set is collected or broadcast.
 
 from __future__ import annotations
 
-import itertools
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,9 +29,12 @@ from pyspark.sql import functions as F
 from dayplan.llm.shared import Scratch, bit_filter, in_filter, mix
 
 TABLES = 3
-HASHES = 8
+HASHES = 8  # at least, see ``sizes``
 WIDTH = 2.4
-PROBES = 300  # buckets visited per table
+PROBES = 300  # buckets visited per table with HASHES hashes
+GROWTH = 1.6  # times the visits for every further hash
+ROWS_PER_BUCKET = 64  # rows over 2 ** hashes
+PROBE_CELLS = 1 << 21  # perturbations that a task holds at once
 GROUP_ROWS = 20_000  # bucket rows that one task takes at once, about
 _SEED = 20_240_131
 
@@ -38,9 +45,30 @@ def _directions(dim: int, table: int, hashes: int, width: float) -> tuple[np.nda
     return rng.normal(size=(dim, hashes)), rng.random(hashes) * width
 
 
-@lru_cache(maxsize=2)
-def _moves(hashes: int) -> np.ndarray:
-    return np.array(list(itertools.product((0, -1, 1), repeat=hashes)), np.int64)
+def sizes(rows: int) -> tuple[int, int]:
+    """(hashes, visits per table) for a table of ``rows`` rows."""
+    hashes = max(HASHES, round(math.log2(max(rows, 1) / ROWS_PER_BUCKET)))
+    return hashes, math.ceil(PROBES * GROWTH ** (hashes - HASHES))
+
+
+def _moves(off: np.ndarray, probes: int) -> np.ndarray:
+    """The ``probes`` cheapest perturbations (rows, probes, hashes) of -1, 0 and 1, cheapest first.
+
+    ``off`` says how far into its cell each projection lies. A cheapest perturbation of some hashes
+    extends one of the cheapest of the hashes before, so a hash at a time is added and the rest let go.
+    """
+    steps = np.array([0, -1, 1], np.int8)
+    cost = np.zeros((len(off), 1))
+    moves = np.zeros((len(off), 1, 0), np.int8)
+    for k in range(off.shape[1]):
+        o = off[:, k, None]
+        longer = np.stack([cost, cost + o**2, cost + (1 - o) ** 2], axis=2).reshape(len(off), -1)
+        kept = np.broadcast_to(np.arange(longer.shape[1]), longer.shape)
+        if longer.shape[1] > probes:
+            kept = np.argpartition(longer, probes - 1, axis=1)[:, :probes]
+        cost = np.take_along_axis(longer, kept, 1)
+        moves = np.concatenate([np.take_along_axis(moves, (kept // 3)[:, :, None], 1), steps[kept % 3][:, :, None]], axis=2)
+    return np.take_along_axis(moves, np.argsort(cost, axis=1, kind="stable")[:, :, None], 1)
 
 
 def _key(cells: np.ndarray, table: int, dim: int) -> np.ndarray:
@@ -61,16 +89,12 @@ def bucket_keys(unit: np.ndarray, tables: int, hashes: int, width: float) -> lis
 
 def probe_keys(unit: np.ndarray, tables: int, hashes: int, width: float, probes: int) -> list[np.ndarray]:
     """Keys to visit per table, (rows, probes), best first."""
-    moves, out = _moves(hashes), []
-    down, up = (moves == -1).astype(float), (moves == 1).astype(float)
+    out = []
     for table in range(tables):
         a, b = _directions(unit.shape[1], table, hashes, width)
         place = (unit @ a + b) / width
         cell = np.floor(place)
-        off = place - cell
-        cost = off**2 @ down.T + (1 - off) ** 2 @ up.T
-        best = np.argsort(cost, axis=1, kind="stable")[:, :probes]
-        out.append(_key(cell[:, None, :] + moves[best], table, unit.shape[1]))
+        out.append(_key(cell[:, None, :] + _moves(place - cell, probes), table, unit.shape[1]))
     return out
 
 
@@ -176,18 +200,22 @@ def _ranked(found: DataFrame, top: int) -> DataFrame:
 
 def nearest(
     vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str = "embedding", top: int = 5,
-    tables: int = TABLES, hashes: int = HASHES, width: float = WIDTH, probes: int = PROBES,
+    tables: int = TABLES, hashes: int | None = None, width: float = WIDTH, probes: int | None = None,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``top`` found rows of largest cosine, ties to the smaller id.
 
     Queries are the rows where ``is_query`` holds; a row is not its own neighbour. Vectors of other
     length never meet. Unusable vectors take no part, see ``usable``. A query for which the buckets
-    hold fewer than ``top`` rows is answered by an exact search over all rows.
+    hold fewer than ``top`` rows is answered by an exact search over all rows. Hashes and probes
+    (buckets visited per table) follow the number of rows where they are not given.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "neighbours")
     base, count = scratch.write_counting(usable(vectors, vec_id, vector), "vectors")
     asking = base.where(is_query)
+    own_hashes, own_probes = sizes(count)
+    hashes, probes = hashes or own_hashes, probes or own_probes
+    at_once = max(1, PROBE_CELLS // probes)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -201,8 +229,8 @@ def nearest(
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            for at in range(0, len(frame), 256):
-                part = frame.iloc[at : at + 256]
+            for at in range(0, len(frame), at_once):
+                part = frame.iloc[at : at + at_once]
                 for rows, unit in _unit(part["vec"]):
                     ids = part["vec_id"].to_numpy()[rows]
                     for keys in probe_keys(unit, tables, hashes, width, probes):

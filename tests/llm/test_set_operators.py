@@ -191,6 +191,38 @@ def test_recall_on_random_vectors(spark):
         assert found == sorted(found, key=lambda x: (-x[1], x[0]))
 
 
+def test_perturbations_come_by_cost():
+    off = np.random.default_rng(3).random((20, 6))
+    every = np.array(list(itertools.product((0, -1, 1), repeat=6)))
+    cost = (off[:, None, :] ** 2 * (every == -1) + (1 - off[:, None, :]) ** 2 * (every == 1)).sum(2)
+    for probes in (1, 40, 729, 5000):
+        moves = neighbours._moves(off, probes)
+        assert moves.shape == (20, min(probes, 729), 6)
+        own = (off[:, None, :] ** 2 * (moves == -1) + (1 - off[:, None, :]) ** 2 * (moves == 1)).sum(2)
+        assert np.allclose(own, np.sort(cost, axis=1)[:, :probes])
+        assert all(len({tuple(m) for m in row}) == len(row) for row in moves)
+
+
+def test_sizes_follow_the_rows():
+    assert neighbours.sizes(0) == neighbours.sizes(1000) == neighbours.sizes(16_000) == (8, 300)
+    assert neighbours.sizes(64 * 2**10)[0] == 10 and neighbours.sizes(64 * 2**20)[0] == 20
+    shares = [probes / 2**hashes for hashes, probes in map(neighbours.sizes, (2**14, 2**17, 2**20, 2**27))]
+    assert shares == sorted(shares, reverse=True) and shares[-1] < shares[0] / 10
+
+
+def test_recall_holds_with_more_hashes(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(6000, 24)).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    want = plain_nearest(rows, lambda i: i % 300 == 0)
+    for rows_as_if in (1_000, 250_000):
+        hashes, probes = neighbours.sizes(rows_as_if)
+        got = {}
+        for r in neighbours.nearest(df, F.col("vec_id") % 300 == 0, hashes=hashes, probes=probes).collect():
+            got.setdefault(r["query_id"], set()).add(r["vec_id"])
+        assert np.mean([len(got[q] & {i for i, _ in want[q]}) / 5 for q in want]) >= 0.9
+
+
 def test_neighbours_hard_cases(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "GROUP_ROWS", 7)  # cuts the bucket of copies into parts
     same = [1.0, 2.0, 3.0]
