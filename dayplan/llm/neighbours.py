@@ -34,7 +34,7 @@ WIDTH = 2.4
 PROBES = 300  # buckets visited per table with HASHES hashes
 GROWTH = 1.6  # times the visits for every further hash
 ROWS_PER_BUCKET = 64  # rows over 2 ** hashes
-PROBE_CELLS = 1 << 21  # perturbations that a task holds at once
+PROBE_CELLS = 1 << 17  # perturbations that a task holds at once
 GROUP_ROWS = 20_000  # bucket rows that one task takes at once, about
 _SEED = 20_240_131
 
@@ -98,6 +98,24 @@ def probe_keys(unit: np.ndarray, tables: int, hashes: int, width: float, probes:
     return out
 
 
+def _group(key: np.ndarray, groups: int) -> np.ndarray:
+    return (mix(key.view(np.uint64), 73) % np.uint64(groups)).astype(np.int64)
+
+
+def _visits(asked: pd.DataFrame, keys: list[np.ndarray], heavy: list[np.ndarray], groups: int) -> pd.DataFrame:
+    """A row per query and group with the keys to visit there, and a row per key that may be of a cut bucket."""
+    out: list[tuple] = []
+    for vec_id, vec, key, cut in zip(asked["vec_id"], asked["vec"], keys, heavy):
+        out += [(vec_id, vec, _group(k, groups)[0], k, True) for k in key[cut][:, None]]
+        key = key[~cut]
+        group = _group(key, groups)
+        order = np.argsort(group, kind="stable")
+        key, group = key[order], group[order]
+        edges = np.flatnonzero(np.diff(group)) + 1
+        out += [(vec_id, vec, _group(k[:1], groups)[0], k, False) for k in np.split(key, edges) if len(k)]
+    return pd.DataFrame(out, columns=["id", "vec", "g", "keys", "heavy"])
+
+
 def _unit(vectors: pd.Series) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(row numbers, unit vectors) per dimension."""
     sizes = vectors.map(len).to_numpy()
@@ -218,45 +236,48 @@ def nearest(
     at_once = max(1, PROBE_CELLS // probes)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    groups = max(1, -(-count * tables // GROUP_ROWS))
+
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             for rows, unit in _unit(frame["vec"]):
                 for key in bucket_keys(unit, tables, hashes, width):
-                    yield pd.DataFrame({"id": frame["vec_id"].to_numpy()[rows], "key": key})
+                    yield pd.DataFrame({"id": frame["vec_id"].to_numpy()[rows], "g": _group(key, groups), "key": key})
 
-    places = scratch.write(base.select("vec_id", "vec").mapInPandas(place, "id bigint, key bigint"), "places")
+    places = scratch.write(base.select("vec_id", "vec").mapInPandas(place, "id bigint, g bigint, key bigint"), "places")
     bits = spark.sparkContext.broadcast(bit_filter(places.select("key")))
+    large = scratch.write(
+        places.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > GROUP_ROWS).select(
+            F.col("key").alias("big"), F.ceil(F.col("n") / F.lit(GROUP_ROWS)).alias("parts")), "large")
+    heavy = spark.sparkContext.broadcast(bit_filter(large.select(F.col("big").alias("key"))))
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             for at in range(0, len(frame), at_once):
                 part = frame.iloc[at : at + at_once]
                 for rows, unit in _unit(part["vec"]):
-                    ids = part["vec_id"].to_numpy()[rows]
-                    for keys in probe_keys(unit, tables, hashes, width, probes):
-                        may = in_filter(bits.value, keys)
-                        row, _ = np.nonzero(may)
-                        yield pd.DataFrame({"id": ids[row], "key": keys[may]})
-
-    visits = asking.select("vec_id", "vec").repartition(n).mapInPandas(probe, "id bigint, key bigint")
-    large = scratch.write(
-        places.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > GROUP_ROWS).select(
-            F.col("key").alias("big"), F.ceil(F.col("n") / F.lit(GROUP_ROWS)).alias("parts")), "large")
-    groups = max(1, -(-count * tables // GROUP_ROWS))
-    group = F.pmod(F.xxhash64("key"), F.lit(groups))
+                    asked = part.iloc[rows]
+                    every = np.concatenate(probe_keys(unit, tables, hashes, width, probes), axis=1)
+                    keys = [k[in_filter(bits.value, k)] for k in every]
+                    yield _visits(asked, keys, [in_filter(heavy.value, k) for k in keys], groups)
+
+    visits = asking.select("vec_id", "vec").repartition(n).mapInPandas(
+        probe, "id bigint, vec array<double>, g bigint, keys array<bigint>, heavy boolean")
+    visits = scratch.write(visits, "visits")
     parts = F.coalesce("parts", F.lit(1))
+    part_key = F.when(F.col("big").isNull(), F.col("key")).otherwise(F.xxhash64("key", "part"))
+    part_group = F.when(F.col("big").isNull(), F.col("g")).otherwise(F.pmod(F.xxhash64("key", "part"), F.lit(groups)))
     rows = (
-        places.join(large, F.col("key") == F.col("big"), "left")
-        .select("id", F.xxhash64("key", F.pmod(F.xxhash64("id"), parts)).alias("key"))
-        .withColumn("g", group).join(base.select(F.col("vec_id").alias("id"), "vec"), "id")
+        places.join(large, F.col("key") == F.col("big"), "left").withColumn("part", F.pmod(F.xxhash64("id"), parts))
+        .select("id", part_group.alias("g"), part_key.alias("key"))
+        .join(base.select(F.col("vec_id").alias("id"), "vec"), "id")
     )
-    wanted = (
-        visits.join(large, F.col("key") == F.col("big"), "left")
+    in_parts = (
+        visits.where("heavy").withColumn("key", F.col("keys")[0]).join(large, F.col("key") == F.col("big"), "left")
         .withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
-        .select("id", F.xxhash64("key", "part").alias("key")).withColumn("g", group)
-        .groupBy("id", "g").agg(F.collect_list("key").alias("keys"))
-        .join(asking.select(F.col("vec_id").alias("id"), "vec"), "id")
+        .select("id", "vec", part_group.alias("g"), F.array(part_key).alias("keys"))
     )
+    wanted = visits.where("not heavy").select("id", "vec", "g", "keys").unionAll(in_parts)
     found = scratch.write(_ranked(_searched(rows, wanted, top), top), "found")
     reach = base.groupBy("dim").agg(F.least(F.count("*") - 1, F.lit(top)).alias("most"))
     got = found.groupBy("query_id").agg(F.count("*").alias("got"))
