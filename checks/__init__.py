@@ -2,7 +2,7 @@
 
 
 def all_queries():
-    from checks import q_choice, q_files, q_network, q_plans, q_skims, q_tables  # noqa: F401
+    from checks import q_choice, q_files, q_network, q_plans, q_run, q_skims, q_tables  # noqa: F401
     from checks.registry import ORACLES, QUERIES
 
     return QUERIES, ORACLES

@@ -19,6 +19,27 @@ def step(name: str, text: str) -> None:
     _STEPS[name] = text
 
 
+def variant(name: str, tag: str, swaps: dict[str, str]) -> str:
+    """Register copies of step ``name`` and of the steps below it that ``swaps`` of text touch.
+
+    A copy is named c_<tag>_<name>; returns the name to read, the old one if nothing changes.
+    """
+    names: dict[str, str] = {}
+
+    def copy(own: str) -> str:
+        if own not in names:
+            text = new = _STEPS[own]
+            for old, to in swaps.items():
+                new = new.replace(old, to)
+            below = {n: copy(n) for n in dict.fromkeys(_NAME.findall(text)) if n in _STEPS and n != own}
+            new = _NAME.sub(lambda found: below.get(found[0], found[0]), new)
+            names[own] = own if new == text else f"c_{tag}_{own[2:]}"
+            _STEPS.setdefault(names[own], new)
+        return names[own]
+
+    return copy(name)
+
+
 def statement(final: str) -> str:
     steps: list[str] = []
     fixtures: set[str] = set()

@@ -13,9 +13,9 @@ from dayplan.plans.activities import activity_plans, trip_table
 from dayplan.plans.autos import auto_ownership_simulate
 from dayplan.plans.departures import departure_times
 from dayplan.plans.modes import primary_mode_choice_simulate
+from dayplan.plans.steps import Steps, fingerprint
 from dayplan.plans.timeofday import tod_choice_simulate
 from dayplan.plans.workplace import assign_jobs, wlcm_simulate
-from dayplan.session import Scratch
 from dayplan.sources.writers import accessibility
 
 
@@ -38,51 +38,63 @@ def run(
     access_path: str | None = None,
     cars_column: str = "cars",
     tod13_as_am: bool = False,
+    resume_path: str | None = None,
 ) -> dict[str, DataFrame]:
     """All output tables. Results depend on ``seed`` only, not on partitioning.
 
     Tables are stored where a later step would otherwise recompute an iterative or
     expensive one: skims, node ids, accessibility, workplaces, and the persons updates.
+    With ``resume_path`` they are stored there, and a later run with the same inputs and
+    settings goes on behind the last step that was finished; see ``Steps``.
     """
-    scratch = Scratch(spark, "run")
-    out = with_skims(tables)
-    out["beam_skims_imputed"] = scratch.write(out["beam_skims_imputed"], "skims")
-    out = attach_node_ids(out)
+    access = accessibility(spark, access_path or "", mode) if mode == "stored" else {}
+    key = ""
+    if resume_path:
+        settings = {"seed": seed, "mode": mode, "cars_column": cars_column, "tod13_as_am": tod13_as_am}
+        key = fingerprint({**tables, **{f"access {n}": t for n, t in access.items()}}, settings)
+    steps = Steps(spark, resume_path, key)
+    out = dict(tables)
+    out["beam_skims_imputed"] = steps.table("skims", lambda: with_skims(tables)["beam_skims_imputed"])
+    out = attach_node_ids(out, steps.table)
 
     def build() -> dict[str, DataFrame]:
         return {
-            "nodeswalk": node_variables(out, "walk"),
-            "nodessmall": node_variables(out, "drive"),
-            "zones": zone_access(out),
+            "nodeswalk": steps.table("nodes-walk", lambda: node_variables(out, "walk")),
+            "nodessmall": steps.table("nodes-drive", lambda: node_variables(out, "drive")),
+            "zones": steps.table("zones", lambda: zone_access(out)),
         }
 
-    out.update(accessibility(spark, access_path or f"{scratch.root}/access", mode, build))
+    out.update(access or accessibility(spark, access_path or f"{steps.path}/access{key}", mode, build))
 
-    placed = wlcm_simulate(out, salt=f"{seed}|wlcm")
-    out["persons"] = scratch.write(assign_jobs(out["persons"], placed), "persons-jobs")
+    def with_jobs() -> DataFrame:
+        return assign_jobs(out["persons"], wlcm_simulate(out, salt=f"{seed}|wlcm"))
 
-    tod = tod_choice_simulate(out, salt=f"{seed}|tod")
-    out["persons"] = scratch.write(
-        update_column(out["persons"], "person_id", tod, "TOD"), "persons-tod"
-    )
-    times = scratch.write(departure_times(out["persons"], salt=f"{seed}|depart"), "times")
-    persons = out["persons"]
-    for column in ("HW_ST", "WH_ST"):
-        persons = update_column(persons, "person_id", times, column)
-    out["persons"] = scratch.write(persons, "persons-times")
-
-    derived = {
-        **out,
-        "nodeswalk": add_node_columns(out["nodeswalk"], "walk"),
-        "nodessmall": add_node_columns(out["nodessmall"], "drive"),
-        "parcels": add_parcel_columns(out["parcels"], out["access_indicators"]),
-    }
-    cars = auto_ownership_simulate(derived, salt=f"{seed}|cars", derive=False)
-    out["households"] = scratch.write(
-        update_column(out["households"], "household_id", cars, "cars_alt"), "households-cars"
-    )
-    modes = primary_mode_choice_simulate(out, cars_column, tod13_as_am, salt=f"{seed}|mode")
-    out["persons_CHTS_format"] = scratch.write(modes, "modes")
+    def with_codes() -> DataFrame:
+        return update_column(out["persons"], "person_id", tod_choice_simulate(out, salt=f"{seed}|tod"), "TOD")
+
+    def with_times() -> DataFrame:
+        times = steps.table("times", lambda: departure_times(out["persons"], salt=f"{seed}|depart"))
+        persons = out["persons"]
+        for column in ("HW_ST", "WH_ST"):
+            persons = update_column(persons, "person_id", times, column)
+        return persons
+
+    def with_cars() -> DataFrame:
+        derived = {
+            **out,
+            "nodeswalk": add_node_columns(out["nodeswalk"], "walk"),
+            "nodessmall": add_node_columns(out["nodessmall"], "drive"),
+            "parcels": add_parcel_columns(out["parcels"], out["access_indicators"]),
+        }
+        cars = auto_ownership_simulate(derived, salt=f"{seed}|cars", derive=False)
+        return update_column(out["households"], "household_id", cars, "cars_alt")
+
+    out["persons"] = steps.table("persons-jobs", with_jobs)
+    out["persons"] = steps.table("persons-tod", with_codes)
+    out["persons"] = steps.table("persons-times", with_times)
+    out["households"] = steps.table("households-cars", with_cars)
+    out["persons_CHTS_format"] = steps.table(
+        "modes", lambda: primary_mode_choice_simulate(out, cars_column, tod13_as_am, salt=f"{seed}|mode"))
     out["plans"] = activity_plans(trip_table(out))
     return out
 

@@ -270,6 +270,31 @@ def test_run_from_stored_accessibility_is_the_same(day, spark):
     assert again["persons"].select(key).exceptAll(out["persons"].select(key)).isEmpty()
 
 
+def test_a_run_that_stopped_goes_on_behind_its_last_step(day, spark, tmp_path, monkeypatch):
+    from dayplan.plans import pipeline
+
+    out, tables, _ = day
+
+    def stop(*args, **kwargs):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(pipeline, "tod_choice_simulate", stop)
+        with pytest.raises(RuntimeError, match="stopped"):
+            run(spark, tables, seed="7", resume_path=str(tmp_path))
+    with monkeypatch.context() as m:
+        for done in ("impute_skims", "node_variables", "zone_access", "wlcm_simulate"):
+            m.setattr(pipeline, done, stop)
+        again = run(spark, tables, seed="7", resume_path=str(tmp_path))
+        with pytest.raises(RuntimeError, match="stopped"):
+            run(spark, tables, seed="8", resume_path=str(tmp_path))
+    for name, key in (("persons", ["person_id", "job_id", "TOD", "HW_ST", "WH_ST"]), ("households", ["household_id", "cars_alt"]),
+                      ("persons_CHTS_format", ["person_id", "primary_commute_mode"]),
+                      ("plans", ["personId", "planElementIndex", "activityType", "x", "y", "endTime"])):
+        assert again[name].select(key).exceptAll(out[name].select(key)).isEmpty()
+        assert out[name].select(key).exceptAll(again[name].select(key)).isEmpty()
+
+
 def test_outputs_are_written(day, spark, tmp_path):
     out, _, _ = day
     names = write_outputs(out, str(tmp_path))
