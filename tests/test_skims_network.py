@@ -229,6 +229,23 @@ def test_nearest_node_matches_brute_force(spark):
         assert got[i] == want, i
 
 
+def test_nearest_node_takes_as_many_jobs_for_far_points(spark):
+    rng = random.Random(22)
+    nodes = [(i, rng.random(), rng.random()) for i in range(300)] + [(900 + i, 40 + rng.random(), 40.0) for i in range(60)]
+    net = spark.createDataFrame(nodes, "osmid long, x double, y double")
+    jobs = []
+    for width in (60.0, 1e6):
+        points = [(i, (rng.random() - 0.5) * width, (rng.random() - 0.5) * width) for i in range(150)]
+        points += [(i, rng.random() * 50 - 5, rng.random() * 50 - 5) for i in range(150, 300)]
+        p = spark.createDataFrame(points, "id long, x double, y double")
+        spark.sparkContext.setJobGroup(f"near-{width}", "nearest")
+        found = {r["id"]: r["node_id"] for r in nearest_node(p, net, "id", "x", "y").collect()}
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"near-{width}")))
+        assert found == {i: min(((x - a) ** 2 + (y - b) ** 2, n) for n, a, b in nodes)[1] for i, x, y in points}
+    spark.sparkContext.setJobGroup("", "")
+    assert abs(jobs[0] - jobs[1]) <= 2
+
+
 def test_nearest_node_unknown_coordinates(spark):
     nan, inf = float("nan"), float("inf")
     nodes = [(i, i * 0.1, 0.0) for i in range(40)] + [(90, nan, 0.0), (91, 0.0, inf), (92, None, 0.0)]
