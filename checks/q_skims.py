@@ -16,6 +16,7 @@ from dayplan.operators.skims import (
 )
 from dayplan.operators.zones import zone_totals, zone_variables
 from dayplan.plans.timeofday import tod_features
+from dayplan.operators.relations import pair_lookup
 from dayplan.session import materialize
 from dayplan.sources.readers import conform
 from checks.fixtures import SKIM_MEASURES, Model
@@ -207,3 +208,19 @@ def commuters(m: Model) -> dict:
 @query("q_tod_features", "SELECT person_id, " + ", ".join(_FEATURES) + " FROM c_tod_features")
 def _(m: Model):
     return tod_features(commuters(m)).select("person_id", *_FEATURES)
+
+
+# a third of all rows on one pair of zones, some on pairs that the table does not have, some without a zone
+_HOT = ("SELECT l_orderkey * 8 + l_linenumber AS id, CASE WHEN l_orderkey % 3 = 0 THEN 1 WHEN l_linenumber = 7 THEN NULL "
+        "ELSE l_suppkey END AS home, CASE WHEN l_orderkey % 3 = 0 THEN 2 ELSE 1 + l_partkey % 50 END AS work FROM {lineitem}")
+
+
+@query(
+    "q_hot_pair",
+    "SELECT id, home, work, da_Time_AM, walk_distance_AM FROM (" + _HOT.format(lineitem="lineitem") + ") r "
+    "LEFT JOIN fx_mtc_skims s ON s.orig = r.home AND s.dest = r.work",
+)
+def _(m: Model):
+    rows = m.spark.sql(_HOT, lineitem=m["lineitem"])
+    skims = m["mtc_skims"].select("orig", "dest", "da_Time_AM", "walk_distance_AM")
+    return pair_lookup(rows, skims, {"home": "orig", "work": "dest"})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayplan.session import materialize
+from dayplan.session import Scratch, materialize
 from dayplan.specs.tables import RELATIONS
 
 
@@ -23,6 +23,36 @@ def lookup(
     return kept.join(parent.select(*taken), F.col(fk) == F.col("_pk"), "left").drop("_pk")
 
 
+PART_ROWS = 100_000  # rows of one key that a task takes at once, at least
+MOST_HEAVY = 10_000  # keys that are cut into parts, at most
+
+
+def pair_lookup(rows: DataFrame, table: DataFrame, on: dict[str, str]) -> DataFrame:
+    """Left join of ``rows`` with ``table``, whose keys are unique; ``on`` maps key columns of rows to those of table.
+
+    A key may hold any share of the rows: they are counted by key, every key above a bound is cut into
+    parts, and its table row is repeated for each part, so no task depends on one key. The bound lets at
+    most ``MOST_HEAVY`` keys be cut, which is what makes their list small enough to broadcast. Rows with
+    a null in the key match nothing and are dealt out one by one. The rows are stored first: counting
+    and joining do not repeat what made them. A column of both sides keeps the value of ``rows``.
+    """
+    scratch = Scratch(rows.sparkSession, "pairs")
+    stored, n = scratch.write_counting(rows, "rows")
+    bound = max(PART_ROWS, n // MOST_HEAVY)
+    keys = [F.col(c).cast(stored.schema[r].dataType).alias(r) for r, c in on.items()]
+    known = F.expr(" and ".join(f"`{r}` is not null" for r in on))
+    heavy = F.broadcast(scratch.write(
+        stored.where(known).groupBy(*on).count().where(F.col("count") > bound)
+        .select(*on, F.ceil(F.col("count") / bound).alias("_parts")), "heavy"))
+    number = F.monotonically_increasing_id()
+    dealt = stored.withColumn("_row", number).join(heavy, list(on), "left").withColumn(
+        "_part", F.when(known, F.pmod("_row", F.coalesce("_parts", F.lit(1)))).otherwise(F.col("_row")))
+    kept = [c for c in table.columns if c not in rows.columns and c not in on.values()]
+    repeated = table.select(*keys, *kept).join(heavy, list(on), "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return dealt.join(repeated, [*on, "_part"], "left").select(*[F.col(f"`{c}`") for c in (*rows.columns, *kept)])
+
+
 def merge_tables(
     tables: dict[str, DataFrame], target: str, names: list[str], columns: list[str] | None = None
 ) -> DataFrame:

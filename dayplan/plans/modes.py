@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from dayplan.functions.draws import uniform
 from dayplan.functions.nulls import flag, recode
 from dayplan.operators.choice import mnl_wide
-from dayplan.operators.relations import building_zones, lookup
+from dayplan.operators.relations import building_zones, lookup, pair_lookup
 from dayplan.operators.skims import period_columns
 from dayplan.specs.choice import MODE_CHOICE
 from dayplan.specs.recodes import EDUCATION, MODE_PERIODS, RACE, TOD_PERIOD
@@ -80,7 +80,7 @@ def mode_base(
     }
     measures = sorted({m for names in by_period.values() for m in names})
     sources = [c for names in by_period.values() for c in names.values()]
-    joined = base.join(mtc.select("orig", "dest", *sources), ["orig", "dest"], "left")
+    joined = pair_lookup(base, mtc.select("orig", "dest", *sources), {"orig": "orig", "dest": "dest"})
     return joined.select(
         *base.columns,
         *[_period_pick(by_period, m) for m in measures],

@@ -8,14 +8,18 @@ from pyspark.sql import functions as F
 from dayplan.functions.draws import uniform
 from dayplan.operators.choice import mnl_wide
 from dayplan.operators.columns import add_household_columns, add_job_columns, add_person_columns
-from dayplan.operators.relations import add_zone_id_home, add_zone_id_work, merge_tables
+from dayplan.operators.relations import add_zone_id_home, add_zone_id_work, merge_tables, pair_lookup
 from dayplan.operators.skims import round_trip_times
 from dayplan.specs.choice import TOD_CHOICE
 from dayplan.specs.recodes import PERIODS
 
 
-def tod_features(tables: dict[str, DataFrame]) -> DataFrame:
-    """Persons with a household and a job, all dummies, and 25 round-trip drive times."""
+def tod_features(tables: dict[str, DataFrame], columns: list[str] | None = None) -> DataFrame:
+    """Persons with a household and a job, all dummies, and 25 round-trip drive times.
+
+    With ``columns``, only these. However many persons share a pair of zones, no task holds them
+    all; see ``pair_lookup``.
+    """
     persons = add_zone_id_home(
         tables["persons"], tables["households"], tables["units"], tables["buildings"],
         tables["parcels"],
@@ -30,14 +34,16 @@ def tod_features(tables: dict[str, DataFrame]) -> DataFrame:
         "persons",
         ["persons", "households", "jobs"],
     )
-    times = round_trip_times(tables["mtc_skims"], PERIODS).withColumns(
-        {"orig": F.col("orig").cast("double"), "dest": F.col("dest").cast("double")}
-    )
-    pair = (F.col("zone_id_home") == F.col("orig")) & (F.col("zone_id_work") == F.col("dest"))
-    return merged.join(times, pair, "left").drop("orig", "dest")
+    times = round_trip_times(tables["mtc_skims"], PERIODS)
+    pair = {"zone_id_home": "orig", "zone_id_work": "dest"}
+    if columns is None:
+        return pair_lookup(merged, times, pair)
+    stored = merged.select(*[c for c in merged.columns if c in columns or c in pair])
+    wanted = times.select("orig", "dest", *[c for c in times.columns if c in columns])
+    return pair_lookup(stored, wanted, pair).select(*columns)
 
 
 def tod_choice_simulate(tables: dict[str, DataFrame], salt: str = "tod") -> DataFrame:
     """(person_id, TOD) drawn from the eight-alternative model."""
-    features = tod_features(tables).select("person_id", *TOD_CHOICE.attributes())
+    features = tod_features(tables, ["person_id", *TOD_CHOICE.attributes()])
     return mnl_wide(features, TOD_CHOICE, uniform(salt, "person_id"), "TOD").select("person_id", "TOD")

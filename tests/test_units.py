@@ -217,3 +217,31 @@ def test_scratch_folder_is_the_one_the_cluster_names():
     assert scratch_dir(fake_session(None, "s3a://b/ck", "yarn")) == "s3a://b/ck"
     with pytest.raises(RuntimeError):
         scratch_dir(fake_session(None, None, "yarn"))
+
+
+def test_pair_lookup_deals_out_a_hot_pair(spark, monkeypatch):
+    from dayplan.operators import relations
+
+    monkeypatch.setattr(relations, "PART_ROWS", 500)
+    pair = lambda i: (1.0, 2.0) if i % 3 == 0 else (None, 2.0) if i % 3 == 1 else (float(i % 7), float(i % 11))
+    rows = [(i // 2, *pair(i), "own") for i in range(24_000)]
+    table = [(i, j, i * 100.0 + j, "other") for i in range(6) for j in range(9)]
+    r = spark.createDataFrame(rows, "id long, home double, work double, note string")
+    t = spark.createDataFrame(table, "orig long, dest long, time double, note string")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        out = relations.pair_lookup(r, t, {"home": "orig", "work": "dest"})
+        sizes = [x["count"] for x in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        got = sorted(map(tuple, out.collect()), key=repr)
+        empty = relations.pair_lookup(r.limit(0), t, {"home": "orig", "work": "dest"})
+        assert empty.columns == ["id", "home", "work", "note", "time"] and empty.isEmpty()
+        assert relations.pair_lookup(r, t.limit(0), {"home": "orig", "work": "dest"}).where("time is not null").isEmpty()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    times = {(i, j): v for i, j, v, _ in table}
+    assert got == sorted([(i, h, w, n, times.get((h, w))) for i, h, w, n in rows], key=repr)
+    assert max(sizes) < 24_000 / 8 * 2
