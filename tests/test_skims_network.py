@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 
+from dayplan.operators import network
 from dayplan.operators.network import nearest_node, network_aggregate, reach_median, reachable
 from dayplan.operators.skims import (
     SkimVariable,
@@ -18,6 +19,7 @@ from dayplan.operators.skims import (
     skim_access,
     skims_by_period,
 )
+from dayplan.session import Scratch
 from dayplan.specs.network import NetworkVariable
 
 RAW = (
@@ -254,3 +256,32 @@ def test_nearest_node_unknown_coordinates(spark):
     net = spark.createDataFrame(nodes, "osmid long, x double, y double")
     got = {r["id"]: r["node_id"] for r in nearest_node(p, net, "id", "x", "y").collect()}
     assert got == {1: 1, 2: None, 3: None, 4: None}
+
+
+def test_nearest_node_meets_few_nodes_of_uneven_networks(spark):
+    """Columns of nodes far closer within a column than columns are apart: one grid fits neither."""
+    rng = np.random.default_rng(5)
+    nodes = [(i, (i % 5) / 5, (i // 5) / 1200) for i in range(6000)]
+    points = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.random((400, 2)))]
+    points += [(400, 40.0, 0.5), (401, -3.0, -7.0), (402, 0.3, 0.5)]  # far away, and between two columns
+    net = spark.createDataFrame(nodes, "osmid long, x double, y double")
+    p = spark.createDataFrame(points, "id long, px double, py double")
+    xs, ys = np.array([n[1] for n in nodes]), np.array([n[2] for n in nodes])
+    want = {i: int(((x - xs) ** 2 + (y - ys) ** 2).argmin()) for i, x, y in points}
+    found = nearest_node(p, net, "id", "px", "py")
+    assert {r["id"]: r["node_id"] for r in found.collect()} == want
+    placed, tiles = network._tiled(net, Scratch(spark, "test"))
+    sizes = [r["count"] for r in placed.groupBy("_tile").count().collect()]
+    assert sum(sizes) == len(nodes) and max(sizes) <= network.TILE
+    rows = spark.createDataFrame(points, "_key long, _x double, _y double")
+    at_home = rows.mapInArrow(tiles.place, "_key long, _x double, _y double, _tile long")
+    visits = network._searched(at_home, len(points), placed, tiles, True).selectExpr("sum(1 + size(more)) n").first()["n"]
+    assert visits < 3 * len(points)
+
+
+def test_nearest_node_deals_out_points_of_one_tile(spark, monkeypatch):
+    monkeypatch.setattr(network, "PART_POINTS", 50)
+    net = spark.createDataFrame([(7, 0.0, 0.0), (3, 1.0, 0.0), (5, None, 0.0)], "osmid long, x double, y double")
+    p = spark.range(400).selectExpr("cast(id as string) as id", "id / 400D as px", "0D as py")
+    got = {r["id"]: r["node_id"] for r in nearest_node(p.unionByName(p), net, "id", "px", "py").collect()}
+    assert got == {str(i): 7 if i < 200 else 3 for i in range(400)}
