@@ -181,3 +181,13 @@ def test_the_last_workers_find_the_only_priced_job(spark):
     got = capacity_choice(workers, jobs, "person_id", "job_id", [(-0.1, ["dist"])], skims, ["zone_id_home", "zone_id_work"], k=10).collect()
     assert {r["job_id"] for r in got} == {777, 90000} and len({r["person_id"] for r in got}) == 2
     assert max(r["round"] for r in got) <= 5
+
+
+def test_fit_without_usable_choosers_is_unknown(spark):
+    """As in a survey whose sampled alternatives all lie on zone pairs without skims."""
+    rows = [(o, int(a == 0), None if a == o % 3 else float(a), 1.0) for o in range(20) for a in range(3)]
+    table = spark.createDataFrame(rows, "o long, chosen int, x double, y double")
+    fit = fit_conditional_logit(table, "o", "chosen", [["x"], ["x", "y"]])
+    assert (fit.n, fit.names, fit.coef) == (0, ["x", "x:y"], [None, None])
+    assert [r["std_err"] for r in fit.table()] == [None, None]
+    assert {k: v for k, v in fit.summary().items() if v is not None} == {"n": 0, "k": 2, "df_resid": -2}
