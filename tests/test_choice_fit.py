@@ -19,6 +19,7 @@ from dayplan.operators.choice import (
     wide_probabilities,
 )
 from dayplan.operators.fit import FitResult, fit_conditional_logit
+from dayplan.session import Scratch
 from dayplan.specs.choice import WideLogit
 
 TOY = WideLogit("toy", (5, 6, 9), {"intercept": {6: 0.5}, "x": {5: 1.0, 9: -2.0}, "z": {9: 0.1}})
@@ -191,3 +192,24 @@ def test_fit_without_usable_choosers_is_unknown(spark):
     assert (fit.n, fit.names, fit.coef) == (0, ["x", "x:y"], [None, None])
     assert [r["std_err"] for r in fit.table()] == [None, None]
     assert {k: v for k, v in fit.summary().items() if v is not None} == {"n": 0, "k": 2, "df_resid": -2}
+
+
+def test_rounds_join_stored_tables_by_shuffles(spark, monkeypatch):
+    """However small their files are, choosers and alternatives never go to every task through the driver."""
+    plans = {}
+    counting = Scratch.write_counting
+
+    def kept(self, df, name, *condition):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return counting(self, df, name, *condition)
+
+    monkeypatch.setattr(Scratch, "write_counting", kept)
+    choosers = spark.range(60).selectExpr("id as p", "id % 3 as home").coalesce(1)
+    alts = spark.range(40).selectExpr("id as a", "id % 4 as work").coalesce(1)
+    near = spark.range(12).selectExpr("id div 4 as home", "id % 4 as work", "cast(id as double) as d")
+    placed = capacity_choice(choosers, alts, "p", "a", [(-0.1, ["d"])], near, ["home", "work"], k=3)
+    assert placed.select("a").distinct().count() == placed.count() == 40
+    rounds = [n for n in plans if n.startswith(("winners", "waiting", "free"))]
+    assert len(rounds) > 3 and all("Join" in plans[n] for n in rounds)
+    for line in "\n".join(plans[n] for n in rounds).splitlines():  # only offsets of partitions and buckets are handed on
+        assert "BroadcastHashJoin" not in line or "[_bucket#" in line or "[_part#" in line, line
