@@ -245,3 +245,19 @@ def test_pair_lookup_deals_out_a_hot_pair(spark, monkeypatch):
     times = {(i, j): v for i, j, v, _ in table}
     assert got == sorted([(i, h, w, n, times.get((h, w))) for i, h, w, n in rows], key=repr)
     assert max(sizes) < 24_000 / 8 * 2
+
+
+def test_pair_lookup_leaves_out_table_rows_that_no_row_asks_for(spark):
+    from dayplan.operators import relations
+
+    table = spark.range(200).selectExpr("cast(id as double) as home").crossJoin(spark.range(100).selectExpr("id as work"))
+    table = table.selectExpr("home", "work", "home * 100 + work as time")
+    asked = [(float(i % 200), i % 7) for i in range(300)] + [(-0.0, 3), (None, 1), (5.0, None), (900.0, 1)]
+    rows = spark.createDataFrame(asked, "home double, work long")
+    left = {(r["home"], r["work"]) for r in relations._wanted(table, rows.where("home is not null and work is not null"), ["home", "work"], len(asked)).collect()}
+    wanted = {(h, w) for h, w in asked if h is not None and w is not None and h < 200}
+    assert wanted <= left and len(left) < 3 * len(wanted)  # of 20,000
+    got = relations.pair_lookup(rows, table, {"home": "home", "work": "work"}).collect()
+    assert sorted((repr(r["home"]), repr(r["work"]), r["time"]) for r in got if r["time"] is not None) == sorted(
+        (repr(h), repr(w), h * 100 + w + 0.0) for h, w in asked if (h, w) in wanted)
+    assert len(got) == len(asked)
