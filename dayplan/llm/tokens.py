@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -52,11 +53,20 @@ class _Bytes(dict):
 
     def __init__(self, model, dtype: np.dtype):
         super().__init__()
-        self.tokenize, self.dtype = model.tokenize, dtype
+        self.tokenize = model.tokenize
+        self.order, self.letter = ">" if dtype.byteorder == ">" else "<", "BHIQ"[dtype.itemsize.bit_length() - 1]
+        self.one = struct.Struct(self.order + self.letter)
 
     def __missing__(self, piece: str) -> bytes:
-        written = piece.encode().decode("latin-1").translate(_WRITTEN)
-        found = self[piece] = np.array([token.id for token in self.tokenize(written)], self.dtype).tobytes()
+        if piece.isascii() and piece.isprintable():  # of these only the space is written in another way
+            written = piece.replace(" ", _WRITTEN[32])
+        else:
+            written = piece.encode().decode("latin-1").translate(_WRITTEN)
+        tokens = self.tokenize(written)
+        if len(tokens) == 1:
+            found = self[piece] = self.one.pack(tokens[0].id)
+        else:
+            found = self[piece] = struct.pack(f"{self.order}{len(tokens)}{self.letter}", *[token.id for token in tokens])
         return found
 
 
@@ -68,7 +78,10 @@ class _Chunks(dict):
         self.get_piece = pieces.__getitem__
 
     def __missing__(self, chunk: str) -> bytes:
-        found = self[chunk] = b"".join(map(self.get_piece, pre_tokens(" " + chunk)))
+        if chunk.isascii() and chunk.isalpha():  # a word of letters alone is one pre-token
+            found = self[chunk] = self.get_piece(" " + chunk)
+        else:
+            found = self[chunk] = b"".join(map(self.get_piece, pre_tokens(" " + chunk)))
         return found
 
 
