@@ -1,4 +1,4 @@
-"""Wide skim tables: cheap measures, and reading of many columns."""
+"""Skim tables: cheap measures, reading of many columns, imputation by one join; tasks of the nearest-node search."""
 
 import io
 from contextlib import redirect_stdout
@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from checks import fixtures
 from checks.registry import as_text
+from dayplan.operators import network
 from dayplan.operators.skims import METERS_PER_MILE, impute_skims, mode_rates, morning_cells
+from dayplan.session import Scratch, task_count
 from dayplan.sources.readers import conform
 
 
@@ -78,3 +80,13 @@ def test_a_kept_model_table_is_made_once(spark, folder):
     stored = model["jobs"]
     model.keep("jobs")
     assert model["jobs"] is stored and stored.count() == want and "Aggregate" not in plan(stored)
+
+
+def test_search_has_no_task_for_each_small_tile(spark, monkeypatch):
+    nodes = spark.range(4000).select(F.col("id").alias("osmid"), (F.col("id") % 64 / 64).alias("x"), (F.col("id") / 4000).alias("y"))
+    monkeypatch.setattr(network, "TILE", 16)
+    net, tiles = network._tiled(nodes, Scratch(spark, "nearest"))
+    points = spark.range(100).select(
+        F.col("id").alias("_key"), F.lit(0.5).alias("_x"), F.lit(0.5).alias("_y"), F.lit(int(tiles.code[0])).alias("_tile"))
+    assert len(tiles.code) > 8 * task_count(spark)
+    assert network._searched(points, 100, net, tiles, True).rdd.getNumPartitions() <= task_count(spark)
