@@ -285,3 +285,23 @@ def test_nearest_node_deals_out_points_of_one_tile(spark, monkeypatch):
     p = spark.range(400).selectExpr("cast(id as string) as id", "id / 400D as px", "0D as py")
     got = {r["id"]: r["node_id"] for r in nearest_node(p.unionByName(p), net, "id", "px", "py").collect()}
     assert got == {str(i): 7 if i < 200 else 3 for i in range(400)}
+
+
+def test_nearest_node_stores_no_place_of_settled_points(spark, monkeypatch):
+    rng = random.Random(31)
+    nodes = [(i, float(i % 60), float(i // 60)) for i in range(3600)]
+    points = [(i, rng.random() * 59, rng.random() * 59) for i in range(300)] + [(900, 1.25, 1.25)] * 3 + [(900, 50.25, 50.25)]
+    p = spark.createDataFrame(points, "id long, x double, y double").repartition(4)
+    net = spark.createDataFrame(nodes, "osmid long, x double, y double")
+    stored, write = {}, Scratch.write_counting
+
+    def keep(self, df, name, condition="true"):
+        out = write(self, df, name, condition)
+        stored[name] = out[0]
+        return out
+
+    monkeypatch.setattr(Scratch, "write_counting", keep)
+    got = sorted(tuple(r) for r in nearest_node(p, net, "id", "x", "y").collect())
+    assert got == sorted((i, min(((x - a) ** 2 + (y - b) ** 2, n) for n, a, b in nodes)[1]) for i, x, y in set(points))
+    hits = stored["hits"]
+    assert 0 < hits.where("_x is not null").count() < hits.count() == len(set(points))
