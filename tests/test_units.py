@@ -261,3 +261,24 @@ def test_pair_lookup_leaves_out_table_rows_that_no_row_asks_for(spark):
     assert sorted((repr(r["home"]), repr(r["work"]), r["time"]) for r in got if r["time"] is not None) == sorted(
         (repr(h), repr(w), h * 100 + w + 0.0) for h, w in asked if (h, w) in wanted)
     assert len(got) == len(asked)
+
+
+def test_round_trips_leave_out_zone_pairs_that_nobody_asks_for_before_they_meet(spark):
+    from dayplan.operators import relations
+    from dayplan.operators.skims import round_trip_times
+
+    mtc = [(o, d, 10.0 * o + d) for o in range(40) for d in range(40) if (o, d) != (4, 3)] + [(5, 6, 1000.0), (6, 5, 2000.0)]
+    t = spark.createDataFrame(mtc, "orig long, dest long, da_Time_AM double")
+    asked = [(1, 3.0, 4.0), (2, 5.0, 6.0), (3, 7.0, 7.0), (4, None, 2.0), (5, 4.0, 3.0), (6, 900.0, 1.0), (7, 3.0, 4.0)]
+    rows = spark.createDataFrame(asked, "id long, home double, work double")
+    on, met = {"home": "orig", "work": "dest"}, []
+
+    def times(wanted):
+        met.extend([wanted(t).count(), wanted(t.selectExpr("dest as orig", "orig as dest")).count()])
+        return round_trip_times(t, ("AM",), wanted)
+
+    got = [tuple(r) for r in relations.pair_lookup(rows, times, on).collect()]
+    whole = [tuple(r) for r in relations.pair_lookup(rows, round_trip_times(t, ("AM",)), on).collect()]
+    assert sorted(got, key=repr) == sorted(whole, key=repr) and len(got) == len(asked) + 3  # repeated pairs stay repeated
+    assert {r[3] for r in got if r[0] == 2} == {56.0 + 65.0, 1000.0 + 65.0, 56.0 + 2000.0, 1000.0 + 2000.0}
+    assert all(2 < n < 40 for n in met)  # of 1,601
