@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dayplan.functions.draws import uniform
+from dayplan.operators import choice
 from dayplan.operators.choice import (
     capacity_choice,
     choice_table,
@@ -213,3 +214,38 @@ def test_rounds_join_stored_tables_by_shuffles(spark, monkeypatch):
     assert len(rounds) > 3 and all("Join" in plans[n] for n in rounds)
     for line in "\n".join(plans[n] for n in rounds).splitlines():  # only offsets of partitions and buckets are handed on
         assert "BroadcastHashJoin" not in line or "[_bucket#" in line or "[_part#" in line, line
+
+
+@pytest.mark.parametrize("gone", [[], [0, 1, 2, 3], [5], [30, 31, 32, 33, 34], list(range(0, 40, 2)), [8, 15, 16, 39]])
+def test_places_of_free_alternatives(spark, monkeypatch, gone):
+    monkeypatch.setattr(choice, "NUMBER_BUCKET", 8)
+    free = [p for p in range(40) if p not in gone]
+    rows = spark.createDataFrame([(f"p{i}", i) for i in [*range(len(free)), 0, len(free) - 1]], "p string, idx bigint")
+    taken = spark.createDataFrame([(t,) for t in gone], "place bigint")
+    got = choice._places(rows, taken, 40)
+    assert got.columns == ["p", "place"] and got.count() == len(free) + 2
+    assert {(r["p"], r["place"]) for r in got.collect()} == {(f"p{i}", place) for i, place in enumerate(free)}
+
+
+def test_later_rounds_move_what_their_choosers_ask_for(spark, monkeypatch):
+    """The free alternatives are not written or numbered again, and long tables are filtered before they move."""
+    stored, filtered = [], []
+    write, wanted = Scratch.write, choice._wanted
+    monkeypatch.setattr(Scratch, "write", lambda self, df, name: stored.append(name) or write(self, df, name))
+    monkeypatch.setattr(choice, "_wanted", lambda table, rows, on, n: filtered.append(on) or wanted(table, rows, on, n))
+    choosers = spark.range(30).selectExpr("id as p", "double(id % 3) as home")
+    # job 7 twice, one job without a key
+    alts = spark.range(2000).selectExpr("if(id = 1999, null, if(id = 8, 7, id)) as a", "double(id % 40) as work")
+    near = spark.range(120).selectExpr("double(id div 40) as home", "double(id % 40) as work", "if(id % 40 < 4, id / 10d, null) as d")
+
+    def rounds(selective, bucket):
+        monkeypatch.setattr(choice, "SELECTIVE", selective)
+        monkeypatch.setattr(choice, "NUMBER_BUCKET", bucket)
+        found = capacity_choice(choosers, alts, "p", "a", [(-0.1, ["d"])], near, ["home", "work"], k=4)
+        return sorted(map(tuple, found.collect()))
+
+    few = rounds(0, 1 << 16)
+    assert filtered.count(["place"]) > 2 and filtered.count(["home", "work"]) > 2
+    assert not [n for n in stored if n.startswith("free")] and "rows" in stored
+    all_ = rounds(10**9, 8)
+    assert few == all_ and max(r[2] for r in few) > 3 and len(few) == 30
