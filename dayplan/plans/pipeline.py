@@ -16,6 +16,7 @@ from dayplan.plans.modes import primary_mode_choice_simulate
 from dayplan.plans.steps import Steps, fingerprint
 from dayplan.plans.timeofday import tod_choice_simulate
 from dayplan.plans.workplace import assign_jobs, wlcm_simulate
+from dayplan.session import side_by_side
 from dayplan.sources.writers import accessibility
 
 
@@ -58,11 +59,11 @@ def run(
     out = attach_node_ids(out, steps.table)
 
     def build() -> dict[str, DataFrame]:
-        return {
-            "nodeswalk": steps.table("nodes-walk", lambda: node_variables(out, "walk")),
-            "nodessmall": steps.table("nodes-drive", lambda: node_variables(out, "drive")),
-            "zones": steps.table("zones", lambda: zone_access(out)),
-        }
+        parts = side_by_side(
+            lambda: steps.table("nodes-walk", lambda: node_variables(out, "walk")),
+            lambda: steps.table("nodes-drive", lambda: node_variables(out, "drive")),
+            lambda: steps.table("zones", lambda: zone_access(out)))
+        return dict(zip(("nodeswalk", "nodessmall", "zones"), parts))
 
     out.update(access or accessibility(spark, access_path or f"{steps.path}/access{key}", mode, build))
 
@@ -89,10 +90,12 @@ def run(
         cars = auto_ownership_simulate(derived, salt=f"{seed}|cars", derive=False)
         return update_column(out["households"], "household_id", cars, "cars_alt")
 
-    out["persons"] = steps.table("persons-jobs", with_jobs)
+    # who has which car does not depend on who works where
+    out["persons"], households = side_by_side(
+        lambda: steps.table("persons-jobs", with_jobs), lambda: steps.table("households-cars", with_cars))
     out["persons"] = steps.table("persons-tod", with_codes)
     out["persons"] = steps.table("persons-times", with_times)
-    out["households"] = steps.table("households-cars", with_cars)
+    out["households"] = households
     out["persons_CHTS_format"] = steps.table(
         "modes", lambda: primary_mode_choice_simulate(out, cars_column, tod13_as_am, salt=f"{seed}|mode"))
     out["plans"] = activity_plans(trip_table(out))

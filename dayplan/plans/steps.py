@@ -9,15 +9,18 @@ from __future__ import annotations
 
 import hashlib
 import json
+import threading
 import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dayplan.session import Scratch
+from dayplan.sources.readers import WIDE
 
 LISTED = "key string, step string, folder string"
 
@@ -26,12 +29,19 @@ def fingerprint(tables: dict[str, DataFrame], settings: dict[str, object]) -> st
     """Stands for the rows of ``tables``, whatever their order and partitioning, and for ``settings``.
 
     One scan of each table with one row per task moved: the number of rows, and the sum and the
-    exclusive or of their hashes.
+    exclusive or of their hashes. Each value is hashed by itself, so that an unknown one keeps its place;
+    zeros of either sign are equal.
     """
+    def value(df: DataFrame, c: str) -> Column:
+        nested = isinstance(df.schema[c].dataType, (T.ArrayType, T.MapType, T.StructType))  # as text: maps have no hash
+        return F.xxhash64(F.to_json(F.struct(F.col(f"`{c}`").alias("c"))) if nested else F.col(f"`{c}`"))
+
     def summary(name: str, df: DataFrame) -> DataFrame:
         columns = sorted(df.columns)
-        digest = F.xxhash64(*[F.coalesce(F.to_json(F.struct(F.col(f"`{c}`").alias("c"))), F.lit("")) for c in columns])
-        return df.select(digest.alias("h")).agg(
+        values = [value(df, c) for c in columns]
+        if len(values) >= WIDE:  # a lambda is not fused with the other columns, and then the rest is compiled in parts
+            values[0] = F.transform(F.array(F.col(f"`{columns[0]}`")), lambda x: F.xxhash64(x))[0]
+        return df.select(F.xxhash64(*values).alias("h")).agg(
             F.lit(name).alias("name"), F.lit(json.dumps([(c, df.schema[c].dataType.simpleString()) for c in columns])).alias("columns"),
             F.count("*").alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).cast("string").alias("sum"), F.bit_xor("h").alias("xor"))
 
@@ -47,6 +57,7 @@ class Steps:
         self.spark, self.key, self.listed = spark, key, path is not None
         self.path = path or Scratch(spark, "run").root
         self.done = self._done() if self.listed else {}
+        self._listing = threading.Lock()  # steps may be built side by side, the list is written by one at a time
 
     def _done(self) -> dict[str, str]:
         try:
@@ -63,7 +74,8 @@ class Steps:
             folder = f"{step}-{uuid.uuid4().hex}"
             build().write.parquet(f"{self.path}/{folder}")
             if self.listed:
-                row = self.spark.createDataFrame([(self.key, step, folder)], LISTED)
-                row.coalesce(1).write.mode("append").parquet(f"{self.path}/steps")
+                with self._listing:
+                    row = self.spark.createDataFrame([(self.key, step, folder)], LISTED)
+                    row.coalesce(1).write.mode("append").parquet(f"{self.path}/steps")
             self.done[step] = folder
         return self.spark.read.parquet(f"{self.path}/{self.done[step]}")

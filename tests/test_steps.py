@@ -1,9 +1,13 @@
 """Stored steps and fingerprints."""
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
+from dayplan.plans import steps
 from dayplan.plans.steps import Steps, fingerprint
+from dayplan.session import side_by_side
 
 
 def test_a_step_is_built_once_and_a_cut_off_one_again(spark, tmp_path):
@@ -45,3 +49,28 @@ def test_fingerprint_follows_rows_and_settings(spark):
         fingerprint({"t": spark.createDataFrame([(1, None, None), (2, "a", 0.5), (2, None, 0.5)], df.schema)}, {"seed": "1"}),
     ]
     assert len({one, *others}) == len(others) + 1
+
+
+def test_fingerprint_hashes_values_as_they_are(spark, monkeypatch):
+    wide = spark.range(50).selectExpr(*[f"if(id % 7 = {i % 7}, null, id * {i}d) as c{i}" for i in range(40)], "array(id, null) as l")
+    texts, to_json = [], F.to_json
+    monkeypatch.setattr(steps.F, "to_json", lambda c: texts.append(c) or to_json(c))
+    one = fingerprint({"t": wide}, {})
+    assert len(texts) == 1  # the nested column only
+    moved = wide.selectExpr(*[f"c{39 - i} as c{i}" for i in range(40)], "l")
+    assert len({one, fingerprint({"t": wide.repartition(3)}, {}), fingerprint({"t": moved}, {}),
+                fingerprint({"t": wide.selectExpr("* except (l)", "array(null, element_at(l, 1)) as l")}, {})}) == 3
+
+
+def test_steps_run_side_by_side(spark, tmp_path):
+    both, path = threading.Barrier(2, timeout=60), str(tmp_path / "run")
+    kept = Steps(spark, path, "k")
+
+    def build(n):
+        both.wait()  # neither goes on alone
+        return spark.range(n)
+
+    a, b = side_by_side(lambda: kept.table("a", lambda: build(3)), lambda: kept.table("b", lambda: build(4)))
+    assert (a.count(), b.count()) == (3, 4) and set(Steps(spark, path, "k").done) == {"a", "b"}
+    with pytest.raises(ZeroDivisionError):
+        side_by_side(lambda: 1 // 0, lambda: 2)
