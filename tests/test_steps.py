@@ -74,3 +74,25 @@ def test_steps_run_side_by_side(spark, tmp_path):
     assert (a.count(), b.count()) == (3, 4) and set(Steps(spark, path, "k").done) == {"a", "b"}
     with pytest.raises(ZeroDivisionError):
         side_by_side(lambda: 1 // 0, lambda: 2)
+
+
+def test_both_networks_are_worked_out_side_by_side(spark, folder, monkeypatch):
+    from checks import all_queries, fixtures
+
+    all_queries()
+    from checks import q_network
+
+    both, seen = threading.Barrier(2, timeout=60), []
+
+    def nodes(kind):
+        def build(m):
+            seen.append("_located" in m._tables)  # what both need is there before
+            both.wait()
+            return kind
+        return build
+
+    monkeypatch.setattr(q_network, "located", lambda m: m._tables.setdefault("_located", {}))
+    for kind in ("walk", "drive"):
+        monkeypatch.setattr(q_network, f"{kind}_nodes", nodes(kind))
+    assert q_network.both_nodes(fixtures.Model(spark, folder)) == {"nodeswalk": "walk", "nodessmall": "drive"}
+    assert seen == [True, True]
